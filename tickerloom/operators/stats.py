@@ -37,12 +37,11 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], min_rows: int = 31)
 
     Each task reduces its rows to one partial result per column pair before the shuffle.
     """
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
     names = F.array(*[F.lit(c) for c in columns])
-    table = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j")) for i, j in pairs])
-    cells = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"), F.inline(table))
-    x, y = F.get("_v", F.col("_i")), F.get("_v", F.col("_j"))
-    measured = cells.select("_i", "_j", x.alias("_x"), y.alias("_y")).groupBy("_i", "_j").agg(
+    cells = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"))
+    left = cells.select("_v", F.posexplode("_v").alias("_i", "_x"))
+    both = left.select("_i", "_x", F.posexplode("_v").alias("_j", "_y")).where("_i < _j")
+    measured = both.groupBy("_i", "_j").agg(
         pearson(F.col("_x"), F.col("_y")).alias("r"), F.count("*").alias("_rows")
     )
     return measured.where(F.col("_rows") >= min_rows).select(

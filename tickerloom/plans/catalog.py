@@ -31,7 +31,9 @@ def with_views(sql: str) -> str:
     names = _needed(sql, [])
     if not names:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names) + "\n" + sql
+    views = "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
+    own = sql.lstrip()
+    return f"{views},\n{own[5:]}" if own.startswith("WITH ") else f"{views}\n{sql}"
 
 
 def query(name: str, sql: str | None = None, rounded: str = "", digits: int = 6):
