@@ -47,23 +47,24 @@ def containment_join(
     parts = distinct.select("_name", F.explode(F.array_distinct(pieces)).alias("_run"))
     anchors = _rarest(parts, "_name", "_run", F.lit(1))
     sizes = anchors.agg(F.collect_set(F.length("_run"))).scalar()   # at most `run` values
-    low = F.lower(F.col(text))
+    # Lower-cased below the explode, so once per text and not once per run.
+    lowered = texts.where(F.col(text).isNotNull()).select(key, F.lower(F.col(text)).alias("_low"))
     empty = F.array().cast("array<string>")
     runs = F.array_distinct(F.concat(*[
-        F.when(F.array_contains(sizes, F.lit(n)), _runs(low, n)).otherwise(empty) for n in range(1, run + 1)
+        F.when(F.array_contains(sizes, F.lit(n)), _runs(F.col("_low"), n)).otherwise(empty) for n in range(1, run + 1)
     ]))
-    if fits(anchors, small_rows):
+    if fits(named.select("_name"), small_rows):   # one anchor per distinct name
         # One pass: probing stays inside the task, the text is never written out per run.
         hits = (
-            texts.where(F.col(text).isNotNull()).select(key, low.alias("_low"), F.explode(runs).alias("_run"))
+            lowered.select(key, "_low", F.explode(runs).alias("_run"))
             .join(F.broadcast(anchors), "_run").where(F.col("_low").contains(F.col("_name")))
             .select(key, "_name")
         )
     else:
         # Shuffle only (key, run); fetch the text again for the candidates.
-        candidates = texts.select(key, F.explode(runs).alias("_run")).join(anchors, "_run").select(key, "_name")
+        candidates = lowered.select(key, F.explode(runs).alias("_run")).join(anchors, "_run").select(key, "_name")
         hits = (
-            candidates.join(texts.select(key, low.alias("_low")), key)
+            candidates.join(lowered, key)
             .where(F.col("_low").contains(F.col("_name"))).select(key, "_name")
         )
     return hits.join(named, "_name").drop("_name")
@@ -86,7 +87,7 @@ def overlap_join(
     shared = F.size(F.array_intersect(F.col(text_tokens), F.col("_toks"))) / F.size("_toks")
     exact = shared >= F.lit(threshold)
     exploded = texts.select(key, F.explode(text_tokens).alias("_tok"))
-    if fits(anchors, small_rows):
+    if fits(parts.select("_tok"), small_rows):   # anchors are some of these tokens
         hits = (
             texts.select(key, text_tokens, F.explode(text_tokens).alias("_tok"))
             .join(F.broadcast(anchors), "_tok").where(exact).select(key, entry)

@@ -29,10 +29,10 @@ def assemble(df: DataFrame, features: Sequence[str] = MODEL_FEATURES, targets: S
 
 
 def cutoff(df: DataFrame, date: str = "date", train_share: float = 0.8) -> Column:
-    """Interpolated quantile of the date as a scalar timestamp (dates are counted first)."""
+    """Interpolated quantile of the date (dates are counted first); fetches that one value."""
     days = df.groupBy(date).agg(F.count("*").alias("_n")).withColumn("_t", F.unix_timestamp(F.col(date).cast("timestamp")))
-    at = exact_quantiles(days, "_t", {"t": train_share}, weight="_n")
-    return F.timestamp_micros(F.round(at.select("t").scalar() * 1_000_000).cast("long"))
+    at = exact_quantiles(days, "_t", {"t": train_share}, weight="_n").first()["t"]
+    return F.timestamp_micros(F.lit(round(at * 1_000_000)))
 
 
 def time_split(df: DataFrame, date: str = "date", train_share: float = 0.8) -> tuple[DataFrame, DataFrame]:

@@ -38,7 +38,7 @@ def return_correlations(commodities: DataFrame, keys: Sequence[str], top: int =
     returns = wide_returns(wide_closes(commodities, keys))
     plain = returns.withColumnsRenamed({f"{k}_ret": k for k in keys})
     pairs = correlation_pairs(plain, list(keys), min_rows=31)
-    return pairs.orderBy(F.abs("r").desc_nulls_last(), "left", "right").limit(top)
+    return pairs.orderBy(F.round(F.abs("r"), 9).desc_nulls_last(), "left", "right").limit(top)
 
 
 def asset_summary(assets: DataFrame, quotes: DataFrame) -> DataFrame:
