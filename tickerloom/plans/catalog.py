@@ -70,7 +70,7 @@ def _rounded_sql(sql: str, columns: Sequence[str], digits: int) -> str:
     if not columns:
         return sql
     def one(c: str) -> str:
-        value = f"round(CAST({c} AS DOUBLE) + {TIE_SHIFT * 10.0**-digits!r}::DOUBLE, {digits})"
-        return f"CASE WHEN {value} = 0 THEN 0.0::DOUBLE ELSE {value} END AS {c}"
+        value = f"round(CAST(\"{c}\" AS DOUBLE) + {TIE_SHIFT * 10.0**-digits!r}::DOUBLE, {digits})"
+        return f"CASE WHEN {value} = 0 THEN 0.0::DOUBLE ELSE {value} END AS \"{c}\""
 
     return f"SELECT * REPLACE ({', '.join(map(one, columns))}) FROM ({sql}) AS q"

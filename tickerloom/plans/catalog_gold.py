@@ -492,7 +492,7 @@ def f25(w):
 
 @query("P22_wide_returns", f"""SELECT * FROM (SELECT date, {', '.join(f'"{b}" / nullif(lag("{b}") OVER (ORDER BY date), 0) - 1 AS "{b}_ret"' for b in BRANDS)}
 FROM (SELECT date, {', '.join(f"max(close) FILTER (WHERE asset_key = '{b}') AS " + '"' + b + '"' for b in BRANDS)} FROM v_commodities GROUP BY date))
-WHERE coalesce({', '.join(f'"{b}_ret"' for b in BRANDS)}) IS NOT NULL""", rounded="")
+WHERE coalesce({', '.join(f'"{b}_ret"' for b in BRANDS)}) IS NOT NULL""", rounded=" ".join(f"{b}_ret" for b in BRANDS))
 def p22(w):
     return MK.wide_returns(MK.wide_closes(w.commodities, BRANDS))
 
