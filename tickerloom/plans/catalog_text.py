@@ -25,29 +25,29 @@ from tickerloom.sources.warehouse import PROSE_RULES
 @query("F1_joined_text", """SELECT doc_id, length(concat_ws(' ', source, text)) AS chars, md5(concat_ws(' ', source, text)) AS digest FROM documents""")
 def f1(w):
     whole = TX.joined_text("source", "text")
-    return w.table("documents").select("doc_id", F.length(whole).alias("chars"), F.md5(whole).alias("digest"))
+    return w.documents.select("doc_id", F.length(whole).alias("chars"), F.md5(whole).alias("digest"))
 
 
 @query("F2_event_flags", f"SELECT doc_id, event_ma, event_earnings, event_management, event_legal FROM (SELECT doc_id, {PROSE_FLAGS} FROM (SELECT doc_id, text AS t FROM documents))")
 def f2(w):
     flags = TX.event_flags(F.col("text"), PROSE_RULES)
-    return w.table("documents").select("doc_id", *[c.alias(n) for n, c in flags.items() if n.startswith("event_")])
+    return w.documents.select("doc_id", *[c.alias(n) for n, c in flags.items() if n.startswith("event_")])
 
 
 @query("F3_negation_speculation", f"SELECT doc_id, is_negated, is_speculative FROM (SELECT doc_id, {PROSE_FLAGS} FROM (SELECT doc_id, text AS t FROM documents))")
 def f3(w):
     flags = TX.event_flags(F.col("text"), PROSE_RULES)
-    return w.table("documents").select("doc_id", *[flags[n].alias(n) for n in ("is_negated", "is_speculative")])
+    return w.documents.select("doc_id", *[flags[n].alias(n) for n in ("is_negated", "is_speculative")])
 
 
 @query("F4_lexicon_sentiment", f"SELECT doc_id, {LEXICON_CASE} AS sentiment, {LEXICON_SCORE} AS score, {LEXICON_CONF} AS confidence FROM (SELECT doc_id, {lexicon_sql('text', PROSE_RULES)} FROM documents)", rounded="score confidence")
 def f4(w):
-    return score_by_lexicon(w.table("documents"), "doc_id", "text", PROSE_RULES)
+    return score_by_lexicon(w.documents, "doc_id", "text", PROSE_RULES)
 
 
 @query("F4_default_lexicon", f"SELECT doc_id, {LEXICON_CASE} AS sentiment, {LEXICON_SCORE} AS score, {LEXICON_CONF} AS confidence FROM (SELECT doc_id, {lexicon_sql('text', TX.TextRules())} FROM documents)", rounded="score confidence")
 def f4_default(w):
-    return score_by_lexicon(w.table("documents"), "doc_id", "text")
+    return score_by_lexicon(w.documents, "doc_id", "text")
 
 
 @query("F5_lexicon_fallback", f"""SELECT url, CASE WHEN sentiment IS NOT NULL THEN sentiment ELSE {LEXICON_CASE} END AS sentiment, CASE WHEN sentiment IS NOT NULL THEN coalesce(score, 0) ELSE {LEXICON_SCORE} END AS score
@@ -66,7 +66,7 @@ _SPELLINGS = ["Positive", " positif ", "très positif", "négatif fort", "Mitig
 @query("F7_sentiment_label", f"""SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'positive' WHEN 1 THEN 'positive' WHEN 2 THEN 'positive' WHEN 3 THEN 'negative' WHEN 6 THEN 'negative' ELSE 'neutral' END AS sentiment FROM documents""")
 def f7(w):
     raw = F.element_at(F.array(*[F.lit(s) for s in _SPELLINGS]), (F.col("doc_id") % 8 + 1).cast("int"))
-    return w.table("documents").select("doc_id", LB.normalise_sentiment(raw).alias("sentiment"))
+    return w.documents.select("doc_id", LB.normalise_sentiment(raw).alias("sentiment"))
 
 
 @query("F8_event_type", f"""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN ['{"', '".join(EVENT_TYPES)}'][doc_id % 13 + 1] WHEN doc_id % 3 = 1 THEN ['{"', '".join(EVENT_ALIASES.values())}'][doc_id % 19 + 1] ELSE 'other' END AS event_type FROM documents""")
@@ -79,7 +79,7 @@ def f8(w):
     raw = F.when(doc % 3 == 0, F.concat(F.lit(" "), F.upper(pick(EVENT_TYPES)))).when(
         doc % 3 == 1, F.concat(F.lit("Les "), F.upper(pick(list(EVENT_ALIASES))), F.lit(" 2024"))
     ).otherwise("xyz")
-    return w.table("documents").select("doc_id", LB.normalise_event_type(raw).alias("event_type"))
+    return w.documents.select("doc_id", LB.normalise_event_type(raw).alias("event_type"))
 
 
 def _analyses(w):
@@ -109,12 +109,12 @@ def f9(w):
 
 @query("F10_fold_accents", "SELECT doc_id, md5(lower(strip_accents(text))) AS digest FROM documents")
 def f10(w):
-    return w.table("documents").select("doc_id", F.md5(TX.fold_text(F.col("text"))).alias("digest"))
+    return w.documents.select("doc_id", F.md5(TX.fold_text(F.col("text"))).alias("digest"))
 
 
 @query("F11_tokens", r"""SELECT doc_id, len(list_distinct(list_filter(string_split_regex(lower(strip_accents(text)), '[^\p{L}\p{N}_]+'), lambda t: t <> ''))) AS tokens FROM documents""")
 def f11(w):
-    return w.table("documents").select("doc_id", F.size(TX.tokens(TX.fold_text(F.col("text")))).cast("long").alias("tokens"))
+    return w.documents.select("doc_id", F.size(TX.tokens(TX.fold_text(F.col("text")))).cast("long").alias("tokens"))
 
 
 @query("F12_clean_text", r"""SELECT page_id, md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[\s\pZ]+', ' ', 'g'))) AS digest FROM pages""")
@@ -249,7 +249,7 @@ def f28_articles(w):
 def j1(w):
     flags = TX.event_flags(F.col("text"), PROSE_RULES)
     total = sum((c for n, c in flags.items() if n.startswith("event_")), F.lit(0))
-    return w.table("documents").select("doc_id", total.alias("families"), TX.lexicon_sentiment(F.col("text"), PROSE_RULES)["sentiment"].alias("sentiment"))
+    return w.documents.select("doc_id", total.alias("families"), TX.lexicon_sentiment(F.col("text"), PROSE_RULES)["sentiment"].alias("sentiment"))
 
 
 def _length_scorer(batch: pd.DataFrame) -> pd.DataFrame:
@@ -260,7 +260,7 @@ def _length_scorer(batch: pd.DataFrame) -> pd.DataFrame:
 @query("J3_pluggable_scorer", r"SELECT doc_id, len(list_filter(string_split_regex(text, '[\s\pZ]+'), lambda x: x <> '')) AS words, length(text) AS chars, CAST(NULL AS VARCHAR) AS error FROM documents")
 def j3(w):
     schema = T.StructType([T.StructField("words", T.LongType()), T.StructField("chars", T.LongType())])
-    return score_with(w.table("documents").select("doc_id", "text"), _length_scorer, schema, "doc_id")
+    return score_with(w.documents.select("doc_id", "text"), _length_scorer, schema, "doc_id")
 
 
 @query("J4_explode_matches", "SELECT m.article_url, m.ticker, c.c_name AS person FROM v_mentions m JOIN orders o ON m.article_url = 'o' || o.o_orderkey JOIN customer c ON c.c_custkey = o.o_custkey")

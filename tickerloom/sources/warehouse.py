@@ -45,6 +45,14 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        """Long texts.  A file with a single row group is one task however long its texts are,
+        so it is spread out; with enough row groups the scan stays as it is."""
+        docs = self.table("documents")
+        cores = self.spark.sparkContext.defaultParallelism
+        return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores, "doc_id")
+
     # --- silver ----------------------------------------------------------------------
 
     @cached_property
@@ -165,7 +173,7 @@ class Warehouse:
             .when(F.col("quality") == 0, "negative")
         )
         start = F.lit("2024-01-01 00:00:00").cast("timestamp")
-        return self.table("documents").join(labels, "doc_id", "left").select(
+        return self.documents.join(labels, "doc_id", "left").select(
             F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("url"),
             F.col("source").alias("title"), F.col("text").alias("full_text"),
             (start + F.make_dt_interval(hours=F.col("doc_id").cast("int"))).alias("published_at"),
