@@ -81,20 +81,18 @@ def overlap_join(
     """
     usable = entries.select(entry, F.array_distinct(entry_tokens).alias("_toks")).where(F.size("_toks") > 0)
     usable = usable.withColumn("_id", F.to_json(F.struct(entry, "_toks")))
+    exploded = texts.select(key, F.explode(text_tokens).alias("_tok"))
+    listed = usable.select("_id", entry, F.size("_toks").alias("_n"), F.explode("_toks").alias("_tok"))
+    if fits(listed.select("_tok"), small_rows):
+        # Count shared tokens: one probe per text token, combined before the shuffle.
+        shared = exploded.join(F.broadcast(listed), "_tok").groupBy(key, "_id", entry, "_n").agg(F.count("*").alias("_hit"))
+        return shared.where(F.col("_hit") / F.col("_n") >= F.lit(threshold)).select(key, entry).distinct()
     need = F.ceil(F.size("_toks") * F.lit(threshold) - F.lit(1e-9))
     parts = usable.select("_id", (F.size("_toks") - need + 1).cast("int").alias("_keep"), F.explode("_toks").alias("_tok"))
     anchors = _rarest(parts, "_id", "_tok", F.col("_keep")).join(usable, "_id").select("_tok", entry, "_toks")
-    shared = F.size(F.array_intersect(F.col(text_tokens), F.col("_toks"))) / F.size("_toks")
-    exact = shared >= F.lit(threshold)
-    exploded = texts.select(key, F.explode(text_tokens).alias("_tok"))
-    if fits(parts.select("_tok"), small_rows):   # anchors are some of these tokens
-        hits = (
-            texts.select(key, text_tokens, F.explode(text_tokens).alias("_tok"))
-            .join(F.broadcast(anchors), "_tok").where(exact).select(key, entry)
-        )
-    else:
-        candidates = exploded.join(anchors, "_tok").select(key, entry, "_toks").distinct()
-        hits = candidates.join(texts.select(key, text_tokens), key).where(exact).select(key, entry)
+    candidates = exploded.join(anchors, "_tok").select(key, entry, "_toks").distinct()
+    overlap = F.size(F.array_intersect(F.col(text_tokens), F.col("_toks"))) / F.size("_toks")
+    hits = candidates.join(texts.select(key, text_tokens), key).where(overlap >= F.lit(threshold)).select(key, entry)
     return hits.distinct()
 
 
