@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import packing
+from tickerloom.llm import packing, sharding
 from tickerloom.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,9 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 ids."""
     return packing.pack_documents(documents(spark, sf_dir))
+
+
+@_query
+def op3_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal bytes, equal texts together."""
+    return sharding.shard_documents(documents(spark, sf_dir))
