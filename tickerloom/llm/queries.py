@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import packing, sharding
+from tickerloom.llm import packing, pii, sharding
 from tickerloom.llm.shared import documents
+from tickerloom.llm.spans import digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,3 +29,9 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of near equal bytes, equal texts together."""
     return sharding.shard_documents(documents(spark, sf_dir))
+
+
+@_query
+def op6_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return digest(pii.personal_data(documents(spark, sf_dir)), pii.BASE_KINDS)
