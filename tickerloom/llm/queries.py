@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import packing, pii, sharding
+from tickerloom.llm import packing, pii, secrets, sharding
 from tickerloom.llm.shared import documents
 from tickerloom.llm.spans import digest
 
@@ -35,3 +35,9 @@ def op3_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return digest(pii.personal_data(documents(spark, sf_dir)), pii.BASE_KINDS)
+
+
+@_query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return digest(secrets.secrets(documents(spark, sf_dir)), secrets.BASE_KINDS)
