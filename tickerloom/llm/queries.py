@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import packing, pii, secrets, sharding
+from tickerloom.llm import fingerprints, packing, pii, secrets, sharding
 from tickerloom.llm.shared import documents
 from tickerloom.llm.spans import digest
 
@@ -41,3 +41,9 @@ def op6_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return digest(secrets.secrets(documents(spark, sf_dir)), secrets.BASE_KINDS)
+
+
+@_query
+def op5_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprints_and_edits(documents(spark, sf_dir))
