@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import fingerprints, packing, pii, secrets, sharding
+from tickerloom.llm import fingerprints, packing, pii, secrets, sharding, warc
 from tickerloom.llm.shared import documents
 from tickerloom.llm.spans import digest
 
@@ -47,3 +47,9 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.fingerprints_and_edits(documents(spark, sf_dir))
+
+
+@_query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back by byte ranges."""
+    return warc.archive_round_trip(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
