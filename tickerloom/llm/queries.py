@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickerloom.llm import fingerprints, packing, pii, secrets, sharding, warc
+from tickerloom.llm import decontaminate, fingerprints, packing, pii, secrets, sharding, warc
 from tickerloom.llm.shared import documents
 from tickerloom.llm.spans import digest
 
@@ -53,3 +54,11 @@ def op5_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives and read back by byte ranges."""
     return warc.archive_round_trip(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@_query
+def op4_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items: per pair the passage with the fewest edits."""
+    found = decontaminate.matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    best = found.groupBy("doc_id", "item_id").agg(F.min(F.struct("distance", "start", "end")).alias("best"))
+    return best.select("doc_id", "item_id", "best.start", "best.end", "best.distance")
