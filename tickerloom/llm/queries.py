@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, fingerprints, packing, pii, secrets, sharding, warc
+from tickerloom.llm import decontaminate, fingerprints, jaccard, packing, pii, secrets, sharding, warc
 from tickerloom.llm.shared import documents
 from tickerloom.llm.spans import digest
 
@@ -62,3 +62,10 @@ def op4_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     best = found.groupBy("doc_id", "item_id").agg(F.min(F.struct("distance", "start", "end")).alias("best"))
     return best.select("doc_id", "item_id", "best.start", "best.end", "best.distance")
+
+
+@_query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose sets of 3-word shingles are alike by 0.9 or more."""
+    found = jaccard.near_duplicate_classes(documents(spark, sf_dir), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
