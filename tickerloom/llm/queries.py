@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, fingerprints, jaccard, packing, pii, secrets, sharding, warc
+from tickerloom.llm import decontaminate, fingerprints, jaccard, packing, pii, secrets, sharding, toxicity, warc
 from tickerloom.llm.shared import documents
 from tickerloom.llm.spans import digest
 
@@ -69,3 +69,10 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose sets of 3-word shingles are alike by 0.9 or more."""
     found = jaccard.near_duplicate_classes(documents(spark, sf_dir), words=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@_query
+def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = documents(spark, sf_dir)
+    return toxicity.scores(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

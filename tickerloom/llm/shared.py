@@ -60,11 +60,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def _hash_block(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of the bytes ``data`` and, per row border in ``rows``, the words before it."""
+def _hash_block(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words in the bytes ``data`` and, per row border in ``rows``,
+    the words before it."""
     n = len(data)
     if not n:
-        return np.empty(0, np.uint64), np.zeros(len(rows), np.int64)
+        nothing = np.empty(0, np.int64)
+        return nothing, nothing, np.empty(0, np.uint64), np.zeros(len(rows), np.int64)
     solid = ~_SPACE[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
@@ -78,15 +80,15 @@ def _hash_block(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * power[:n], out=sums[1:])
     hashes = _mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, rows)
+    return starts, ends, hashes, np.searchsorted(starts, rows)
 
 
-def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Blocks ``(first row, hashes, offsets)`` of the words of a string column.
+def word_blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks ``(first row, bytes, starts, ends, hashes, offsets)`` of the words of a string column.
 
-    Words are runs of bytes other than white space (space, 9 to 13), A-Z lower-cased; row ``i`` of
-    a block has ``hashes[offsets[i]:offsets[i + 1]]``.  Null counts as empty.  A text longer than a
-    block is hashed piece by piece, cut at white space, and comes as a block of its own.
+    Words are runs of bytes other than white space (space, 9 to 13), hashed with A-Z lower-cased; row
+    ``i`` of a block has the words ``offsets[i]`` to ``offsets[i + 1]``.  Null counts as empty.  A text
+    longer than a block comes in several blocks of that one row, cut at white space.
     """
     column = column.fill_null("") if column.null_count else column
     wide = pa.types.is_large_string(column.type)
@@ -100,15 +102,34 @@ def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         stop = min(max(stop, row + 1), rows)
         lo, hi = offsets[row], offsets[stop]
         if hi - lo <= BLOCK_BYTES:
-            hashes, at = _hash_block(data[lo:hi], offsets[row: stop + 1] - lo)
+            yield row, data[lo:hi], *_hash_block(data[lo:hi], offsets[row: stop + 1] - lo)
         else:
-            parts = [_hash_block(piece, np.array([0]))[0] for piece in _long_pieces(data[lo:hi])]
-            hashes = np.concatenate(parts)
-            at = np.array([0, len(hashes)])
-        yield row, hashes, at
+            for piece in _long_pieces(data[lo:hi]):
+                yield row, piece, *_hash_block(piece, np.array([0, len(piece)]))
         row = stop
 
 
+def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Blocks ``(first row, hashes, offsets)`` like ``word_blocks``, but whole rows only: a text
+    longer than a block comes as a block of its own."""
+    held: list = []
+    for row, _, _, _, hashes, offsets in word_blocks(column):
+        if held and held[0] != row:
+            yield _joined(held)
+            held = []
+        if held:
+            held[1].append(hashes)
+        else:
+            held = [row, [hashes], offsets]
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list) -> tuple[int, np.ndarray, np.ndarray]:
+    row, parts, offsets = held
+    return (row, parts[0], offsets) if len(parts) == 1 else (row, np.concatenate(parts), np.array([0, sum(map(len, parts))]))
+
+
 def _long_pieces(data: np.ndarray) -> Iterator[np.ndarray]:
     at = 0
     while at < len(data):
