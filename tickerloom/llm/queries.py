@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, fingerprints, jaccard, packing, pii, secrets, sharding, toxicity, warc
+from tickerloom.llm import decontaminate, fingerprints, jaccard, katz, packing, pii, secrets, sharding, toxicity, warc
 from tickerloom.llm.shared import documents
 from tickerloom.llm.spans import digest
 
@@ -76,3 +76,9 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = documents(spark, sf_dir)
     return toxicity.scores(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@_query
+def op9_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz backoff score of every document, the model from six sevenths of them."""
+    return katz.scores(documents(spark, sf_dir))
