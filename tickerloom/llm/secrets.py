@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm.shared import BLOCK_BYTES
-from tickerloom.llm.spans import FOUND, SPAN_TYPE, ordered
+from tickerloom.llm.spans import FOUND, SPAN_TYPE, masked, ordered
 
 ANY = True                                # a query that every text meets
 EXACT_MOST = 64                           # strings kept apart before they become a query
@@ -210,3 +210,23 @@ def secrets(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, SPAN_TYPE)], names=["doc_id", "spans"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FOUND)
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by its kind in brackets; rows without secrets
+    and all other columns stay as they are, but ``n_chars`` follows a changed text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, out = batch.column("text").to_pylist(), []
+            spans = (s for part in blocks([t or "" for t in texts]) for s in default_scan().block(part))
+            for text, found in zip(texts, spans, strict=True):
+                out.append(masked(text, [(s["kind"], s["start"], s["end"]) for s in found]) if found else text)
+            columns = list(batch.columns)
+            columns[batch.schema.names.index("text")] = pa.array(out, pa.string())
+            if "n_chars" in batch.schema.names:
+                at = batch.schema.names.index("n_chars")
+                kept = zip(columns[at].to_pylist(), texts, out, strict=True)
+                columns[at] = pa.array([n if a == b else len(b) for n, a, b in kept], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
