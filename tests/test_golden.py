@@ -183,6 +183,14 @@ def test_overlap_paths_agree(spark, small_rows, threshold):
     }
 
 
+@pytest.mark.parametrize("small_rows", [0, 1000])
+def test_overlap_ignores_repeats_and_joins_rows_of_a_key(spark, small_rows):
+    e = spark.createDataFrame([(1, ["x", "z"]), (2, ["x", "x"])], "j int, need array<string>")
+    t = spark.createDataFrame([(1, ["x", "x", "y"]), (2, ["x", "y"]), (2, ["z", "q"])], "k int, words array<string>")
+    got = {(r.k, r.j) for r in E.overlap_join(t, "k", "words", e, "j", "need", 1.0, small_rows).collect()}
+    assert got == {(1, 2), (2, 1), (2, 2)}
+
+
 def test_keyword_index_rules(spark):
     df = spark.createDataFrame(
         [(0, "ATW", "Attijari Finance"), (1, "BCP", "Populaire Finance"), (2, "FINANCE", "Groupe Maroc")], "ord int, ticker string, company_name string"

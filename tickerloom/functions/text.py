@@ -70,14 +70,17 @@ def word_count(text: Column) -> Column:
 
 
 def lexicon_sentiment(text: Column, rules: TextRules = TextRules()) -> Column:
-    """Struct(sentiment, score, confidence) from stem counts."""
+    """Struct(sentiment, score, confidence) from stem counts.
+
+    The counts are bound to a lambda variable: each is planned, and scanned, once per text.
+    """
     low = F.lower(F.coalesce(text, F.lit("")))
     counts = F.struct(
         words_containing(low, rules.positive).alias("p"),
         words_containing(low, rules.negative).alias("n"),
         word_count(low).alias("w"),
     )
-    return score_counts(counts["p"], counts["n"], counts["w"])
+    return F.get(F.transform(F.array(counts), lambda c: score_counts(c["p"], c["n"], c["w"])), F.lit(0))
 
 
 def score_counts(p: Column, n: Column, words: Column) -> Column:

@@ -17,11 +17,11 @@ from tickerloom.operators.stats import mode_per_key, ratio
 
 
 def map_entities(
-    articles: DataFrame, companies: DataFrame, mentions: DataFrame, body_chars: int | None = 500
+    articles: DataFrame, companies: DataFrame, mentions: DataFrame, body_chars: int | None = None
 ) -> DataFrame:
     """One row per (article, ticker): stored mentions, else company names found in the text.
 
-    ``body_chars`` limits the searched body as the rule states; None searches all of it.
+    The whole body is searched; ``body_chars`` limits it on request.
     """
     stored = articles.join(mentions.withColumnRenamed("article_url", "url"), "url")
     rest = unknown_only(articles, "url", mentions, "article_url")
@@ -63,12 +63,15 @@ def daily_features(
         "negated_count": "is_negated", "speculative_count": "is_speculative",
         **{c: c for c in type_columns},
     }
-    daily = enriched.dropna(subset=["ticker", "date"]).groupBy("ticker", "date").agg(
-        F.countDistinct("url").alias("news_count"),
+    rows = enriched.dropna(subset=["ticker", "date"])
+    # distinct articles apart, on three columns: the sums are then combined before their shuffle
+    articles = rows.select("ticker", "date", "url").distinct().groupBy("ticker", "date").agg(F.count("url").alias("news_count"))
+    totals = rows.groupBy("ticker", "date").agg(
         F.avg(score).alias("avg_sentiment"),
         F.coalesce(F.stddev_samp(score), F.lit(0.0)).alias("std_sentiment"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in sums.items()],
     )
+    daily = articles.join(totals, ["ticker", "date"])
     return daily.withColumns({
         "positive_ratio": ratio(F.col("positive_count"), F.col("news_count")),
         "negative_ratio": ratio(F.col("negative_count"), F.col("news_count")),

@@ -77,23 +77,22 @@ def overlap_join(
     """Distinct (key, entry) where at least ``threshold`` of the entry's tokens are in the text.
 
     With n tokens and m needed, any match holds one of the n - m + 1 rarest: only those are
-    join keys.  ``threshold=1`` is the subset test.
+    join keys.  ``threshold=1`` is the subset test.  Repeated tokens count once; rows that share
+    a key are one text.  ``small_rows`` decides how the anchors are joined, never what matches.
     """
     usable = entries.select(entry, F.array_distinct(entry_tokens).alias("_toks")).where(F.size("_toks") > 0)
     usable = usable.withColumn("_id", F.to_json(F.struct(entry, "_toks")))
-    exploded = texts.select(key, F.explode(text_tokens).alias("_tok"))
-    listed = usable.select("_id", entry, F.size("_toks").alias("_n"), F.explode("_toks").alias("_tok"))
-    if fits(listed.select("_tok"), small_rows):
-        # Count shared tokens: one probe per text token, combined before the shuffle.
-        shared = exploded.join(F.broadcast(listed), "_tok").groupBy(key, "_id", entry, "_n").agg(F.count("*").alias("_hit"))
-        return shared.where(F.col("_hit") / F.col("_n") >= F.lit(threshold)).select(key, entry).distinct()
     need = F.ceil(F.size("_toks") * F.lit(threshold) - F.lit(1e-9))
     parts = usable.select("_id", (F.size("_toks") - need + 1).cast("int").alias("_keep"), F.explode("_toks").alias("_tok"))
-    anchors = _rarest(parts, "_id", "_tok", F.col("_keep")).join(usable, "_id").select("_tok", entry, "_toks")
-    candidates = exploded.join(anchors, "_tok").select(key, entry, "_toks").distinct()
-    overlap = F.size(F.array_intersect(F.col(text_tokens), F.col("_toks"))) / F.size("_toks")
-    hits = candidates.join(texts.select(key, text_tokens), key).where(overlap >= F.lit(threshold)).select(key, entry)
-    return hits.distinct()
+    anchors = _rarest(parts, "_id", "_tok", F.col("_keep")).join(usable, "_id").select("_tok", "_id", entry, "_toks")
+    anchors = F.broadcast(anchors) if fits(parts.select("_tok"), small_rows) else anchors
+    words = texts.select(key, F.array_distinct(text_tokens).alias("_words"))
+    candidates = words.select(key, F.explode("_words").alias("_tok")).join(anchors, "_tok").select(key, "_id", entry, "_toks").distinct()
+    shared = candidates.join(words, key).select(
+        key, "_id", entry, F.size("_toks").alias("_n"), F.explode(F.array_intersect("_words", "_toks")).alias("_tok"))
+    # the set holds tokens of one entry, so it is bounded by the entry
+    hits = shared.groupBy(key, "_id", entry, "_n").agg(F.size(F.collect_set("_tok")).alias("_hit"))
+    return hits.where(F.col("_hit") / F.col("_n") >= F.lit(threshold)).select(key, entry).distinct()
 
 
 def match_article_entities(

@@ -102,14 +102,17 @@ def run_trend(runs: DataFrame, as_of: datetime | None = None) -> DataFrame:
     ).agg(F.count("*").alias("runs"), F.coalesce(F.sum("rows_processed"), F.lit(0)).alias("rows_processed"))
 
 
-def recent_problems(events: DataFrame, as_of: datetime | None = None, limit: int = 50) -> DataFrame:
+def recent_problems(events: DataFrame, as_of: datetime | None = None, limit: int | None = None) -> DataFrame:
     bad = events.where(F.col("level").isin("warning", "error"))
-    return since(bad, "ts", as_of, days=1).orderBy(F.desc("ts"), F.desc("id")).limit(limit)
+    newest = since(bad, "ts", as_of, days=1).orderBy(F.desc("ts"), F.desc("id"))
+    return newest if limit is None else newest.limit(limit)
 
 
-def run_list(runs: DataFrame, name: str | None = None, status: str | None = None, limit: int = 500) -> DataFrame:
-    newest = runs.orderBy(F.desc("started_at"), "run_id").limit(limit)
-    return optional_equal(optional_equal(newest, "pipeline_name", name), "status", status)
+def run_list(runs: DataFrame, name: str | None = None, status: str | None = None, limit: int | None = None) -> DataFrame:
+    """Matching runs, newest first; ``limit`` counts matching runs."""
+    matching = optional_equal(optional_equal(runs, "pipeline_name", name), "status", status)
+    newest = matching.orderBy(F.desc("started_at"), "run_id")
+    return newest if limit is None else newest.limit(limit)
 
 
 def run_detail(events: DataFrame, run_id: str) -> DataFrame:

@@ -72,9 +72,8 @@ def since(df: DataFrame, column: str, as_of: date | datetime | None = None, **sp
 
 def within_span(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
     """Rows whose value lies between the other column's minimum and maximum, both included."""
-    low = other.agg(F.min(other_column)).scalar()
-    high = other.agg(F.max(other_column)).scalar()
-    return df.where(F.col(column).between(low, high))
+    span = other.agg(F.struct(F.min(other_column).alias("low"), F.max(other_column).alias("high"))).scalar()
+    return df.where(F.col(column).between(span["low"], span["high"]))
 
 
 def optional_equal(df: DataFrame, column: str, value: str | None) -> DataFrame:
@@ -99,5 +98,5 @@ def dedup_by_source_order(df: DataFrame, key: str, source_rank: str, position: s
 
 
 def fits(df: DataFrame, rows: int) -> bool:
-    """Size check for a broadcast: at most ``rows`` rows (reads no further than that)."""
+    """Size check for a broadcast: at most ``rows`` rows."""
     return df.limit(rows + 1).count() <= rows

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickerloom.session import stored
+
 BUCKETS = 256
 
 
@@ -25,7 +27,8 @@ def ranked_values(
     """
     by = list(by)
     rows = F.count("*") if weight is None else F.sum(weight)
-    counts = df.dropna(subset=[value, *by]).groupBy(*by, value).agg(rows.alias("n"))
+    # read three times below, so stored once
+    counts = stored(df.dropna(subset=[value, *by]).groupBy(*by, value).agg(rows.alias("n")), "counts")
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     sketch = F.percentile_approx(F.col(value), steps, F.lit(100 * buckets)).alias("_edges")
     if by:

@@ -65,7 +65,7 @@ WHERE a.url NOT IN (SELECT article_url FROM v_doc_mentions)"""
 
 @query("P1_map_entities", f"SELECT url, ticker, date, feed_url FROM ({DOC_MAPPED})")
 def p1(w):
-    return D.map_entities(w.doc_articles, w.doc_companies, w.doc_mentions, body_chars=None).select("url", "ticker", "date", "feed_url")
+    return D.map_entities(w.doc_articles, w.doc_companies, w.doc_mentions).select("url", "ticker", "date", "feed_url")
 
 
 @query("P2_enrich_articles", f"""SELECT url, ticker, {LEXICON_CASE.replace("CASE WHEN", "CASE WHEN sentiment IS NOT NULL THEN sentiment WHEN", 1)} AS sentiment,
@@ -75,7 +75,7 @@ def p1(w):
 FROM (SELECT x.*, e.event_type AS llm_event_type, {PROSE_FLAGS}, {lexicon_sql('t', PROSE_RULES)}
       FROM (SELECT *, concat_ws(' ', title, full_text) AS t FROM ({DOC_MAPPED})) x LEFT JOIN v_doc_events e ON e.article_url = x.url)""", rounded="score confidence")
 def p2(w):
-    mapped = D.map_entities(w.doc_articles, w.doc_companies, w.doc_mentions, body_chars=None)
+    mapped = D.map_entities(w.doc_articles, w.doc_companies, w.doc_mentions)
     return D.enrich_articles(mapped, w.doc_events, PROSE_RULES).select(
         "url", "ticker", "sentiment", "score", "confidence", "event_ma", "event_earnings", "event_management",
         "event_legal", "is_negated", "is_speculative", "llm_event_type", "llm_evt_ma_deal",
@@ -132,7 +132,7 @@ def p8_bridge(w):
 @query("P33_news_day_dataset", f"SELECT ticker, date, daily_return, next_day_return, direction, {', '.join(FEATURE_COLUMNS[:11])} FROM v_labelled WHERE news_count > 0",
        rounded="daily_return next_day_return avg_sentiment std_sentiment")
 def p33(w):
-    dataset = D.build_daily_signals(w.features, w.prices, drop_unlabelled=True).where("news_count > 0")
+    dataset = w.labelled.where("news_count > 0")
     return dataset.select("ticker", "date", "daily_return", "next_day_return", "direction", *FEATURE_COLUMNS[:11])
 
 
@@ -274,7 +274,7 @@ def d20_complete(w):
 @query("D21_ticker_coverage", """SELECT ticker, count(*) AS total_days, count(*) FILTER (WHERE news_count > 0) AS news_days, avg(next_day_return) AS avg_return, stddev_samp(next_day_return) AS std_return,
  round_even(count(*) FILTER (WHERE news_count > 0) * 1.0 / count(*), 3) AS news_coverage FROM v_labelled GROUP BY 1""", rounded="avg_return std_return news_coverage")
 def d21(w):
-    dataset = D.build_daily_signals(w.features, w.prices, drop_unlabelled=True)
+    dataset = w.labelled
     return dataset.groupBy("ticker").agg(
         F.count("*").alias("total_days"), F.count_if(F.col("news_count") > 0).alias("news_days"),
         F.avg("next_day_return").alias("avg_return"), F.stddev_samp("next_day_return").alias("std_return"),
@@ -325,7 +325,7 @@ _EDGES = "[" + ", ".join(f"quantile_cont(round(avg_sentiment, 9), {i / 10})" for
  SELECT next_day_return, CAST(len(list_filter(e[2:len(e) - 1], lambda x: x < s)) AS INTEGER) AS bucket
  FROM (SELECT round(avg_sentiment, 9) AS s, next_day_return FROM v_labelled WHERE news_count > 0) CROSS JOIN (SELECT list_sort(list_distinct({_EDGES})) AS e FROM v_labelled WHERE news_count > 0)) GROUP BY 1""", rounded="mean_return")
 def d26(w):
-    news = D.build_daily_signals(w.features, w.prices, drop_unlabelled=True).where("news_count > 0")
+    news = w.labelled.where("news_count > 0")
     scores = news.select(F.round("avg_sentiment", 9).alias("avg_sentiment"), "next_day_return")
     return Q.quantile_bucket(scores, "avg_sentiment", 10).groupBy("bucket").agg(
         F.count("*").alias("n"), F.avg("next_day_return").alias("mean_return")
@@ -344,7 +344,7 @@ def d27(w):
 @query("D28_guarded_correlation", """SELECT ticker, count(*) AS n, CASE WHEN count(*) >= 10 AND count(DISTINCT avg_sentiment) > 1 THEN corr(avg_sentiment, next_day_return) END AS r
 FROM v_labelled WHERE news_count > 0 GROUP BY ticker""", rounded="r")
 def d28(w):
-    news = D.build_daily_signals(w.features, w.prices, drop_unlabelled=True).where("news_count > 0")
+    news = w.labelled.where("news_count > 0")
     return news.groupBy("ticker").agg(
         F.count("*").alias("n"), ST.pearson(F.col("avg_sentiment"), F.col("next_day_return"), 10).alias("r")
     )
@@ -353,7 +353,7 @@ def d28(w):
 @query("D29_trend_line", """SELECT regr_slope(next_day_return, avg_sentiment) AS slope, regr_intercept(next_day_return, avg_sentiment) AS intercept, corr(next_day_return, avg_sentiment) AS r, count(*) AS n
 FROM v_labelled WHERE news_count > 0""", rounded="slope intercept r")
 def d29(w):
-    news = D.build_daily_signals(w.features, w.prices, drop_unlabelled=True).where("news_count > 0")
+    news = w.labelled.where("news_count > 0")
     return ST.linear_fit(news, "avg_sentiment", "next_day_return")
 
 
@@ -361,7 +361,7 @@ def d29(w):
  SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry
  FROM (SELECT round(avg_sentiment, 9) AS x, next_day_return AS y FROM v_labelled WHERE news_count > 0))""", rounded="rho")
 def d30(w):
-    news = D.build_daily_signals(w.features, w.prices, drop_unlabelled=True).where("news_count > 0")
+    news = w.labelled.where("news_count > 0")
     return ST.spearman(news.select(F.round("avg_sentiment", 9).alias("x"), F.col("next_day_return").alias("y")), "x", "y")
 
 

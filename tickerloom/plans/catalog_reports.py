@@ -87,7 +87,7 @@ _TICKERS = "SELECT fingerprint, string_agg(ticker, ', ' ORDER BY ticker) AS tick
 @query("P14_event_list", f"""SELECT f.fingerprint, f.event_type, f.event_date, CAST(f.first_seen AS DATE) AS first_seen, f.article_count, t.tickers
 FROM v_facts f LEFT JOIN ({_TICKERS}) t USING (fingerprint) WHERE f.event_date IS NOT NULL ORDER BY f.event_date DESC, f.fingerprint LIMIT 500""")
 def p14(w):
-    return DB.event_list(*w.event_tables).withColumn("first_seen", F.to_date("first_seen"))
+    return DB.event_list(*w.event_tables, limit=500).withColumn("first_seen", F.to_date("first_seen"))
 
 
 @query("P15_events_over_time", "SELECT CAST(date_trunc('month', event_date) AS DATE) AS period, event_type, count(*) AS n FROM v_facts GROUP BY 1, 2")
@@ -134,7 +134,7 @@ def p18_history(w):
 @query("P19_sector_event_matrix", f"""SELECT c.sector, {', '.join(f"count(DISTINCT f.fingerprint) FILTER (WHERE f.event_type = '{t}') AS {t}" for t in EVENT_TYPES)}
 FROM v_bridge b JOIN v_facts f ON f.fingerprint = b.fingerprint JOIN v_companies c ON c.ticker = b.ticker GROUP BY 1""")
 def p19(w):
-    return DB.sector_event_matrix(DB.event_list(*w.event_tables, limit=None), w.companies)
+    return DB.sector_event_matrix(*w.event_tables, w.companies)
 
 
 @query("P20_source_mix", "SELECT f.name AS source, a.sentiment, count(*) AS n FROM v_articles a JOIN v_feeds f ON f.url = a.feed_url GROUP BY 1, 2")
@@ -192,10 +192,10 @@ def n2_trend(w):
 
 @query("N2_recent_problems", f"SELECT id, level FROM v_log WHERE level IN ('warning', 'error') AND ts >= {_NOW} - INTERVAL 1 DAY ORDER BY ts DESC, id DESC LIMIT 50")
 def n2_problems(w):
-    return H.recent_problems(w.log, _AS_OF).select("id", "level")
+    return H.recent_problems(w.log, _AS_OF, limit=50).select("id", "level")
 
 
-@query("N3_run_list", "SELECT run_id, status FROM (SELECT * FROM v_runs ORDER BY started_at DESC, run_id LIMIT 500) WHERE pipeline_name = 'p1'")
+@query("N3_run_list", "SELECT run_id, status FROM v_runs WHERE pipeline_name = 'p1'")
 def n3(w):
     return H.run_list(w.runs, name="p1").select("run_id", "status")
 

@@ -20,6 +20,14 @@ def _feed(w):
     return ST.read_feed(w.spark, w.folder, w.table("events").schema, "ts", "events.parquet")
 
 
+def _feed_in_batches(w, files: int = 4):
+    """The same feed as several files, one per micro-batch, each with rows of the whole time span:
+    later batches bring older rows."""
+    folder = work_folder(w.spark, "feed")
+    w.table("events").repartitionById(files, F.pmod(F.xxhash64("event_id"), F.lit(files)).cast("int")).write.parquet(folder)
+    return ST.read_feed(w.spark, folder, w.table("events").schema, "ts", "*.parquet", files_per_batch=1)
+
+
 @query("I1_feed_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def i1(w):
     unique = ST.dedup_feed(_feed(w).select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "60 days")
@@ -39,12 +47,13 @@ def i3(w):
 
     def merge(old, batch):
         part = batch.groupBy("user_id").agg(F.count("*").alias("n"), F.to_date(F.max("ts")).alias("last_day"))
-        total = part.join(old.select("user_id", F.col("n").alias("_n")), "user_id", "left").select(
-            "user_id", (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n"), "last_day"
+        before = old.select("user_id", F.col("n").alias("_n"), F.col("last_day").alias("_day"))
+        total = part.join(before, "user_id", "left").select(
+            "user_id", (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n"), F.greatest("last_day", "_day").alias("last_day")
         )
         return upsert(old, total, ["user_id"])
 
-    ST.upsert_stream(_feed(w), f"{folder}/table", f"{folder}/checkpoint", merge, empty).awaitTermination()
+    ST.upsert_stream(_feed_in_batches(w), f"{folder}/table", f"{folder}/checkpoint", merge, empty).awaitTermination()
     newest = w.spark.read.parquet(f"{folder}/table")
     return newest.where(F.col("version") == newest.agg(F.max("version")).scalar()).drop("version")
 
@@ -54,14 +63,14 @@ def i3_bridge(w):
     folder = work_folder(w.spark, "stream-bridge")
     empty = w.spark.createDataFrame([], "user_id bigint, event_type string")
     merge = lambda old, batch: insert_ignore(old, batch.select("user_id", "event_type"), ["user_id", "event_type"])
-    ST.upsert_stream(_feed(w), f"{folder}/table", f"{folder}/checkpoint", merge, empty).awaitTermination()
+    ST.upsert_stream(_feed_in_batches(w), f"{folder}/table", f"{folder}/checkpoint", merge, empty).awaitTermination()
     newest = w.spark.read.parquet(f"{folder}/table")
     return newest.where(F.col("version") == newest.agg(F.max("version")).scalar()).drop("version")
 
 
 @query("I4_running_counts", "SELECT event_type, CAST(date_trunc('week', ts) AS DATE) AS week, count(*) AS n, CAST(min(ts) AS DATE) AS first_seen FROM events GROUP BY 1, 2")
 def i4(w):
-    changes = ST.drain(ST.running_counts(_feed(w), "event_type", "ts"), "counters", "update")
+    changes = ST.drain(ST.running_counts(_feed_in_batches(w), "event_type", "ts", "60 days"), "counters", "update")
     state = ST.latest_state(changes, ["event_type", "week"])
     return state.select("event_type", F.to_date("week").alias("week"), "n", F.to_date("first_seen").alias("first_seen"))
 
@@ -113,7 +122,7 @@ def i8(w):
 @query("I9_resumed_stream", "SELECT event_id FROM events")
 def i9(w):
     folder = work_folder(w.spark, "resume")
-    rows = _feed(w).select("event_id")
+    rows = _feed_in_batches(w).select("event_id")
     for _ in range(2):   # the second start finds nothing new behind its checkpoint
         ST.sink(rows, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return w.spark.read.parquet(f"{folder}/out")

@@ -469,7 +469,7 @@ def c14(w):
 def c15(w):
     from tickerloom.plans.dashboards import event_list
 
-    listed = event_list(*w.event_tables, limit=None).dropna(subset=["tickers"])
+    listed = event_list(*w.event_tables).dropna(subset=["tickers"])
     rows = listed.select("fingerprint", F.explode(F.split("tickers", ", ")).alias("ticker"))
     return rows.join(w.companies.select("ticker", "sector"), "ticker", "left")
 

@@ -120,7 +120,7 @@ def event_impact(signals: DataFrame, types: Sequence[str] = IMPACT_TYPES) -> Dat
     return table.withColumn("lift", F.col("present") - F.coalesce("absent", F.lit(0.0)))
 
 
-def event_list(facts: DataFrame, bridge: DataFrame, limit: int | None = 500, event_type: str | None = None) -> DataFrame:
+def event_list(facts: DataFrame, bridge: DataFrame, limit: int | None = None, event_type: str | None = None) -> DataFrame:
     """Dated events with their sorted tickers as text, newest first."""
     dated = optional_equal(facts.where(F.col("event_date").isNotNull()), "event_type", event_type)
     names = bridge.groupBy("fingerprint").agg(
@@ -164,13 +164,13 @@ def commodity_history(commodity_daily: DataFrame, asset_key: str, days: int = 18
     return since_last_date(own, days, anchor=commodity_daily).select("date", "close", "daily_return").orderBy("date")
 
 
-def sector_event_matrix(events: DataFrame, companies: DataFrame, types: Sequence[str] = EVENT_TYPES) -> DataFrame:
-    """Distinct events per sector and type, from the ticker text of the event list."""
-    rows = events.dropna(subset=["tickers", "event_type"]).select(
-        "fingerprint", "event_type", F.explode(F.split("tickers", ", ")).alias("ticker")
-    )
-    placed = rows.join(companies.select("ticker", "sector"), "ticker", "left").dropna(subset=["sector"])
-    counts = placed.groupBy("sector", "event_type").agg(F.countDistinct("fingerprint").alias("n"))
+def sector_event_matrix(facts: DataFrame, bridge: DataFrame, companies: DataFrame, types: Sequence[str] = EVENT_TYPES) -> DataFrame:
+    """Distinct dated events per sector and type.  The bridge holds a row per event and ticker, so
+    sectors are joined to it and made distinct before the events are."""
+    sectors = companies.select("ticker", "sector").dropna(subset=["sector"])
+    placed = bridge.join(sectors, "ticker").select("fingerprint", "sector").distinct()
+    dated = facts.where(F.col("event_date").isNotNull() & F.col("event_type").isNotNull()).select("fingerprint", "event_type")
+    counts = placed.join(dated, "fingerprint").groupBy("sector", "event_type").agg(F.countDistinct("fingerprint").alias("n"))
     return pivot_table(counts, "sector", "event_type", types, F.sum("n"))
 
 
@@ -198,8 +198,8 @@ def monthly_sentiment(articles: DataFrame) -> DataFrame:
 def monthly_articles(articles: DataFrame) -> DataFrame:
     """Articles per month, labelled by month end, months without articles count 0."""
     counts = articles.groupBy(F.last_day(F.to_date("published_at")).alias("month_end")).agg(F.count("*").alias("n"))
-    first = F.trunc(counts.agg(F.min("month_end")).scalar(), "MM")
-    last = F.trunc(counts.agg(F.max("month_end")).scalar(), "MM")
+    span = counts.agg(F.struct(F.min("month_end").alias("low"), F.max("month_end").alias("high"))).scalar()
+    first, last = F.trunc(span["low"], "MM"), F.trunc(span["high"], "MM")
     calendar = articles.sparkSession.range(1).select(
         F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).alias("m")
     ).select(F.last_day("m").alias("month_end"))

@@ -13,7 +13,7 @@ from tickerloom.sources.silver import event_extract
 
 def enriched_rows(
     articles: DataFrame, companies: DataFrame, mentions: DataFrame, article_events: DataFrame,
-    rules: TextRules = TextRules(), body_chars: int | None = 500,
+    rules: TextRules = TextRules(), body_chars: int | None = None,
 ) -> DataFrame:
     mapped = D.map_entities(articles, companies, mentions, body_chars)
     return D.enrich_articles(mapped, article_events, rules)
@@ -22,7 +22,7 @@ def enriched_rows(
 def gold_frames(
     articles: DataFrame, companies: DataFrame, mentions: DataFrame, article_events: DataFrame,
     prices: DataFrame, events: DataFrame, event_companies: DataFrame, commodities: DataFrame,
-    rules: TextRules = TextRules(), body_chars: int | None = 500,
+    rules: TextRules = TextRules(), body_chars: int | None = None,
 ) -> dict[str, DataFrame]:
     """All seven gold tables.  Nothing runs until a sink asks."""
     enriched = enriched_rows(articles, companies, mentions, article_events, rules, body_chars)
@@ -47,7 +47,7 @@ def refresh_gold(folder: str, work: str, **silver: DataFrame) -> list[str]:
     re-read instead of the whole text pass.
     """
     spark = silver["articles"].sparkSession
-    rules, body_chars = silver.pop("rules", TextRules()), silver.pop("body_chars", 500)
+    rules, body_chars = silver.pop("rules", TextRules()), silver.pop("body_chars", None)
     text_inputs = [silver[n] for n in ("articles", "companies", "mentions", "article_events")]
     needed = ["url", "ticker", "date", "sentiment", "score", "llm_event_type", "event_ma", "event_earnings",
               "event_management", "event_legal", "is_negated", "is_speculative", *TYPE_FLAGS]

@@ -17,6 +17,7 @@ from tickerloom.functions.text import TextRules
 from tickerloom.operators import daily as D
 from tickerloom.operators.harvest import run_record
 from tickerloom.plans.gold import enriched_rows
+from tickerloom.session import work_folder
 
 # Rules for article titles that are order priorities ("4-NOT SPECIFIED").
 ORDER_RULES = TextRules(
@@ -36,8 +37,12 @@ PROSE_RULES = TextRules(
 )
 
 
+# Where a session has stored the gold tables of a folder: (application, folder, table) -> path.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 class Warehouse:
-    """Lazily built tables of one scale-factor folder."""
+    """Tables of one scale-factor folder: lazily built, the gold ones stored once per session."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -45,13 +50,20 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _once(self, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` written to the shared folder by the first query that needs them."""
+        at = (self.spark.sparkContext.applicationId, self.folder, name)
+        if at not in _STORED:
+            path = work_folder(self.spark, name)
+            rows.write.parquet(path)
+            _STORED[at] = path
+        return self.spark.read.schema(rows.schema).parquet(_STORED[at])
+
     @cached_property
     def documents(self) -> DataFrame:
-        """Long texts.  A file with a single row group is one task however long its texts are,
-        so it is spread out; with enough row groups the scan stays as it is."""
-        docs = self.table("documents")
-        cores = self.spark.sparkContext.defaultParallelism
-        return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores, "doc_id")
+        """Long texts, always spread by doc_id: a file with a single row group is one task however
+        long its texts are, and the work on a text outweighs its one shuffle."""
+        return self.table("documents").repartition("doc_id")
 
     # --- silver ----------------------------------------------------------------------
 
@@ -225,17 +237,22 @@ class Warehouse:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return enriched_rows(
+        return self._once("enriched", enriched_rows(
             self.articles, self.companies, self.mentions, self.article_events, ORDER_RULES
-        )
+        ))
 
     @cached_property
     def features(self) -> DataFrame:
-        return D.build_features(self.enriched)
+        return self._once("features", D.build_features(self.enriched))
 
     @cached_property
     def signals(self) -> DataFrame:
-        return D.build_daily_signals(self.features, self.prices)
+        return self._once("signals", D.build_daily_signals(self.features, self.prices))
+
+    @cached_property
+    def labelled(self) -> DataFrame:
+        """Signals of the days whose next day is known."""
+        return self._once("labelled", D.build_daily_signals(self.features, self.prices, drop_unlabelled=True))
 
     @cached_property
     def company_dim(self) -> DataFrame:
@@ -254,9 +271,8 @@ class Warehouse:
     @cached_property
     def predictions(self) -> DataFrame:
         """A stand-in for stored test predictions: sentiment sign as the call."""
-        labelled = D.build_daily_signals(self.features, self.prices, drop_unlabelled=True)
         score = F.col("avg_sentiment")
-        return labelled.select(
+        return self.labelled.select(
             "ticker", "date", "direction", "next_day_return",
             F.round((score + 1) / 2, 6).alias("p_up"), F.round(score / 50, 6).alias("pred_return"),
         ).withColumn("pred_direction", (F.col("p_up") >= 0.5).cast("int"))
