@@ -33,8 +33,8 @@ from tickerloom.llm.shared import mix64, stored, word_hashes
 from tickerloom.llm.warc import file_system
 from tickerloom.session import work_folder
 
-BLOCK_TOKENS = 3_000_000
-BUCKET_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
+BUCKET_TOKENS = 1_500_000
 LAST = 5                                # counts up to this are discounted
 END = np.uint64(0xE0D0E0D0E0D0E0D0)     # hashes of the marks around a text
 START = np.uint64(0x57A7057A7057A705)
