@@ -90,8 +90,8 @@ class Benchmark:
     def _slot(h: np.ndarray) -> np.ndarray:
         return ((h ^ (h >> np.uint64(29))) * _BASE >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
-    def hits(self, codes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, item and diagonal of every q-gram a text shares with an item."""
+    def hits(self, codes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, item, place in the item and diagonal of every q-gram a text shares with an item."""
         h = qgrams(codes)
         at = np.flatnonzero(self.bitmap[self._slot(h)])
         text = np.searchsorted(borders, at, "right") - 1
@@ -103,7 +103,8 @@ class Benchmark:
         times = self.times[found]
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         posting = np.repeat(self.first[found], times) + nth
-        return np.repeat(text, times), self.item[posting], np.repeat(at, times) - self.place[posting]
+        place = self.place[posting]
+        return np.repeat(text, times), self.item[posting], place, np.repeat(at, times) - place
 
     def search(self, texts: Sequence[str]) -> list[list[tuple[int, int, int, int]]]:
         """``(item id, start, end, edits)`` of the passages of every text, one per item and region."""
@@ -111,7 +112,7 @@ class Benchmark:
         if not len(self.grams):
             return out
         codes, borders, came = normalised(texts)
-        text, item, diagonal = self.hits(codes, borders)
+        text, item, place, diagonal = self.hits(codes, borders)
         if not len(text):
             return out
         step = 2 * self.edits[item] + 1
@@ -126,8 +127,14 @@ class Benchmark:
         pair, band = pair[edge], band[edge]
         good = count >= self.bound[pair % len(self.ids)]
         last: tuple[int, int, int] | None = None
-        for p, b in zip(pair[good].tolist(), band[good].tolist(), strict=True):
+        hit = order % len(place)                        # both bands of a hit point to it
+        for p, b, lo, n in zip(pair[good].tolist(), band[good].tolist(), edge[good].tolist(), count[good].tolist(), strict=True):
             t, k = divmod(p, len(self.ids))
+            mine = hit[lo: lo + n]
+            # a q-gram that repeats counts once, on either side
+            kept = min(len(set(place[mine].tolist())), len(set((place[mine] + diagonal[mine]).tolist())))
+            if kept < self.bound[k]:
+                continue
             width = 2 * int(self.edits[k]) + 1
             first = b * width + low
             got = self._aligned(codes, int(borders[t]), int(borders[t + 1]), k, first, first + 2 * width - 1)
@@ -135,8 +142,8 @@ class Benchmark:
                 continue
             lo, hi, edits = got
             if last is not None and last[:2] == (t, k) and lo < last[2]:
-                kept = out[t][-1]                       # the next band saw the same passage
-                if edits >= kept[3]:
+                before = out[t][-1]                     # the next band saw the same passage
+                if edits >= before[3]:
                     continue
                 out[t].pop()
             start = int(came[lo] - came[borders[t]]) if lo < hi else 0
