@@ -73,7 +73,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 
 def _with_references(pages: DataFrame) -> DataFrame:
-    """``pages(page_id, url, html)`` with ``refers_to``, sorted so that equal rows are neighbours.
+    """``pages(page_id, url, html)`` with ``refers_to``, equal rows in one partition.
 
     The digests are grouped before anything is joined, so a payload that a third of the rows share
     is one row then; the join back is on light rows and the pages are shuffled once, by page_id.
@@ -85,7 +85,8 @@ def _with_references(pages: DataFrame) -> DataFrame:
     last = light.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 and refers_to is not null")
     known = light.where("page_id is not null").join(last.select("digest", "refers_to"), "digest") \
         .groupBy("page_id", "digest").agg(F.first("refers_to").alias("refers_to"))
-    rows = rows.withColumn("digest", F.when(F.octet_length("html") >= SHARED_BYTES, F.sha1(F.encode("html", "utf-8"))))
+    # one shuffle of the pages; the join keeps it, so equal rows stay in one partition
+    rows = rows.withColumn("digest", F.when(F.octet_length("html") >= SHARED_BYTES, F.sha1(F.encode("html", "utf-8")))).repartition("page_id", "digest")
     return rows.join(known, ["page_id", "digest"], "left").select("page_id", "digest", "url", "html", "refers_to")
 
 
@@ -127,7 +128,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             [pa.array([prefix + p for p in paths], pa.string()), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())],
             names=["path", "bytes", "records"])
 
-    rows = _with_references(pages).repartition("page_id").sortWithinPartitions("page_id", "digest", "url")
+    rows = _with_references(pages).sortWithinPartitions("page_id", "digest", "url")
     return stored(rows.mapInArrow(run, MANIFEST), "manifest")
 
 
