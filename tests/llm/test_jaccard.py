@@ -63,7 +63,7 @@ def test_classes_equal_brute_force(spark, n, percent):
     texts = near_copies(rnd, 14) + ["", None, " \t", "one", "ONE", "one two", "same same same same same same"] + ["common line " * 30] * 9
     rows = [(k * 3 + 1, t) for k, t in enumerate(texts)]
     rnd.shuffle(rows)
-    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, node string")
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, node string").coalesce(2)
     assert got(jaccard.near_duplicate_classes(docs, n, percent)) == brute(rows, n, percent)
 
 
@@ -75,7 +75,7 @@ def test_query_over_tables(spark):
 def test_shuffled_texts_when_too_many_for_a_broadcast(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BROADCAST_NODES", 1)
     rows = list(enumerate(near_copies(random.Random(8), 4)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
     assert got(jaccard.near_duplicate_classes(docs, 3, 90)) == brute(rows, 3, 90)
 
 
@@ -83,7 +83,7 @@ def test_one_per_class(spark):
     long = " ".join(f"w{k}" for k in range(60))
     rows = [(5, long), (3, long + " more"), (9, long), (None, long), (7, "alone here with five words"), (7, "alone here with five words"),
             (7, "another text under the same id"), (8, ""), (2, None), (2, None)]
-    docs = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id long, text string, extra int")
+    docs = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id long, text string, extra int").coalesce(2)
     kept = jaccard.one_per_class(docs)
     assert kept.columns == docs.columns
     rows = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())

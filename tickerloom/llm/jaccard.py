@@ -5,10 +5,15 @@ first, so two sets alike enough share a shingle among the first few of each: tho
 only rows that meet, on the shingle.  Pairs pass a length filter, a positional filter and a suffix
 filter, and every pair left is verified once on the whole sets.
 
-No shingle gives all pairs of its nodes.  First every node meets the least node of each of its prefix
-shingles (as many rows as postings), and the links found make classes.  Then only nodes outside the
-class of that least node meet the others, and only where classes differ: within a class nothing is
-left to find.  So a group of near copies costs a row per posting, and no link between classes is lost.
+No shingle gives all pairs of its nodes.  First every node meets the most central node of each of its
+prefix shingles (as many rows as postings), and the links found make classes.  Then only nodes outside
+the class of that node meet the others, and only where classes differ: within a class nothing is left
+to find.  So a group of near copies costs a row per posting, and no link between classes is lost.
+
+The suffix filter bounds from below how many shingles two sets do not share.  Every shingle belongs to
+a hash range; sets that differ little have equal parities of their counts in most ranges.  These
+parities, 256 bits, are compared inside the join, before a pair becomes a row; counts per range follow
+for each pair.
 
 The order comes from a fixed number of counters over all shingles of all texts.  It decides how many
 pairs are met, never which ones qualify.  Shingles and nodes are 64-bit hashes.
@@ -20,7 +25,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm.components import components
@@ -28,12 +34,13 @@ from tickerloom.llm.shared import mix64, shingles, stored, word_hashes
 
 WORDS = 5
 PERCENT = 80
-COUNTER_BITS = 20                       # counters of the order: a fixed megabyte of them
+COUNTER_BITS = 24                       # counters of the order: a fixed 16 MB once they are levels
 COUNTER_PARTS = 64
-RANGES = 32                             # hash ranges of the suffix filter
+RANGES = 32                             # hash ranges of the suffix filter, by counts
+PARITY = ("p0", "p1", "p2", "p3")       # and by parities, 64 ranges to a number
 BROADCAST_NODES = 500_000
 
-SIZES = "doc_id long, n int, node long, spread array<int>, part int, counts binary"
+SIZES = "doc_id long, n int, node long, spread array<int>, p0 long, p1 long, p2 long, p3 long, part int, counts binary"
 POSTINGS = "shingle long, node long, n int, place int"
 
 
@@ -56,6 +63,20 @@ def _nodes(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return mix64(total + np.diff(offsets).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)).view(np.int64)
 
 
+def _parities(values: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Per row, four numbers of 64 parities: of the shingles in each of 256 hash ranges."""
+    bit = np.uint64(1) << (values >> np.uint64(40) & np.uint64(63))
+    word = values >> np.uint64(46) & np.uint64(3)
+    some = np.flatnonzero(np.diff(offsets))
+    out = []
+    for k in range(4):
+        total = np.zeros(len(offsets) - 1, np.uint64)
+        if len(some):
+            total[some] = np.bitwise_xor.reduceat(np.where(word == k, bit, np.uint64(0)), offsets[some])
+        out.append(total.view(np.int64))
+    return out
+
+
 def _counter(values: np.ndarray) -> np.ndarray:
     return (values >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
@@ -67,23 +88,26 @@ def _texts(docs: DataFrame) -> DataFrame:
 def _sizes(docs: DataFrame, words: int) -> DataFrame:
     """Two kinds of rows in one pass: every document with its node, and each task's counters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << COUNTER_BITS, np.int64)
+        counts = np.zeros(1 << COUNTER_BITS, np.uint32)
         nothing = pa.nulls
         for batch in batches:
             for row, values, offsets in _sets(batch.column(1), words):
                 rows = len(offsets) - 1
-                counts += np.bincount(_counter(values), minlength=len(counts))
+                np.add.at(counts, _counter(values), np.uint32(1))
                 of = np.repeat(np.arange(rows), np.diff(offsets))
                 ranges = (values >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
                 spread = np.bincount(of * RANGES + ranges, minlength=rows * RANGES).astype(np.int32)
+                parity = [pa.array(p) for p in _parities(values, offsets)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, rows), pa.array(np.diff(offsets).astype(np.int32)), pa.array(_nodes(values, offsets)),
                     pa.ListArray.from_arrays(np.arange(0, len(spread) + 1, RANGES, dtype=np.int32), spread),
-                    nothing(rows, pa.int32()), nothing(rows, pa.binary())], names=["doc_id", "n", "node", "spread", "part", "counts"])
-        parts = np.split(np.minimum(counts, 2**31 - 1).astype("<i4"), COUNTER_PARTS)
+                    *parity, nothing(rows, pa.int32()), nothing(rows, pa.binary())], names=["doc_id", "n", "node", "spread", *PARITY, "part", "counts"])
+        parts = np.split(counts, COUNTER_PARTS)
+        packer = zstandard.ZstdCompressor(level=1)
         yield pa.RecordBatch.from_arrays([
             nothing(len(parts), pa.int64()), nothing(len(parts), pa.int32()), nothing(len(parts), pa.int64()), nothing(len(parts), pa.list_(pa.int32())),
-            pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["doc_id", "n", "node", "spread", "part", "counts"])
+            *[nothing(len(parts), pa.int64())] * 4, pa.array(range(len(parts)), pa.int32()), pa.array([packer.compress(p.tobytes()) for p in parts], pa.binary())],
+            names=["doc_id", "n", "node", "spread", *PARITY, "part", "counts"])
 
     return stored(_texts(docs).mapInArrow(run, SIZES), "sizes")
 
@@ -94,7 +118,7 @@ def _order(sizes: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                more = np.frombuffer(counts, "<i4").astype(np.int64)
+                more = np.frombuffer(zstandard.ZstdDecompressor().decompress(counts), np.uint32).astype(np.int64)
                 sums[part] = sums[part] + more if part in sums else more
         level = {p: np.minimum(8 * np.log2(1 + s), 255).astype(np.uint8).tobytes() for p, s in sums.items()}
         yield pa.RecordBatch.from_arrays([pa.array(list(level), pa.int32()), pa.array(list(level.values()), pa.binary())], names=["part", "counts"])
@@ -133,16 +157,21 @@ def _postings(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> D
     return stored(_texts(docs).mapInArrow(run, POSTINGS), "postings")
 
 
-def _met(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of ``rows(node, n, place, other, other_n, other_place)`` past the length and
-    positional filters.  What two sets share is at most what can stand before the common shingle in
-    both, that shingle, and what can follow it in both."""
+def _may_link(percent: int) -> Column:
+    """Whether a row's two nodes, met on a shingle, pass the length, positional and parity filters.
+
+    What two sets share is at most what can stand before the common shingle in both, that shingle,
+    and what can follow it in both."""
     small, large = F.least("n", "other_n"), F.greatest("n", "other_n")
     ahead = F.least("place", "other_place")
     behind = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
     need = F.expr(f"({percent}L * (n + other_n) + {99 + percent}) div {100 + percent}")
-    kept = rows.where((small * 100 >= large * percent) & (ahead + behind >= need))
-    return kept.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    apart = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"other_{p}"))) for p in PARITY[1:]), F.bit_count(F.col("p0").bitwiseXOR(F.col("other_p0"))))
+    return (small * 100 >= large * percent) & (ahead + behind >= need) & (apart <= F.col("n") + F.col("other_n") - 2 * need)
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, words: int, percent: int) -> DataFrame:
@@ -171,35 +200,36 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, words: int, p
     return stored(met.where(shared * 100 >= (F.size("a_grams") + F.size("b_grams") - shared) * percent).select("a", "b"), "links")
 
 
-def _met_in(shingle_rows: DataFrame, outer: DataFrame) -> DataFrame:
-    other = outer.select("shingle", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("place").alias("other_place"),
-                         F.col("root").alias("other_root"))
-    return shingle_rows.join(other, "shingle").where("root <> other_root")
-
-
 def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, n, node)`` of every row, and ``(node, root)`` of every node linked with another."""
     sizes = _sizes(docs, words)
     rows = sizes.where("part is null")
     postings = _postings(docs, _order(sizes), words, percent)
-    ends = postings.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last")
-    common = stored(postings.join(ends.select("shingle", "pivot"), "shingle").distinct(), "common")
     known = stored(rows.where("doc_id is not null and n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("spread").alias("spread")), "nodes")
-
-    pivots = common.where("node = pivot").select("shingle", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("place").alias("other_place"))
-    stars = _met(common.where("node <> pivot").join(pivots, "shingle"), percent)
-    links = _verified(stars, docs, known, words, percent)
+        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "spread", *PARITY)]), "nodes")
+    ends = postings.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("shingle")
+    shared = stored(postings.join(ends, "shingle").distinct(), "shared")
+    # what a copy changed is rare and fills its prefix; the text copied from shares most of its own
+    central = shared.groupBy("node").agg(F.count(F.lit(1)).alias("central"))
+    common = stored(shared.join(central, "node").join(known.select("node", *PARITY), "node"), "common")
+
+    named = {"node": "other", "n": "other_n", "place": "other_place"} | {p: f"other_{p}" for p in PARITY}
+    pivots = stored(common.groupBy("shingle").agg(F.max(F.struct("central", *named)).alias("pivot"))
+                    .select("shingle", *[F.col(f"pivot.{c}").alias(name) for c, name in named.items()]), "pivots")
+    stars = common.join(pivots, "shingle").where((F.col("node") != F.col("other")) & _may_link(percent))
+    links = _verified(_pairs(stars), docs, known, words, percent)
     roots = components(links)
 
-    named = common.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    main = named.where("node = pivot").select("shingle", F.col("root").alias("main"))
-    # the least node met everyone already, so neither side needs it again
-    rest = stored(named.where("node <> pivot").join(main, "shingle"), "rest")
-    outside = rest.where("root <> main")
+    main = pivots.select("shingle", F.col("other").alias("pivot")).join(roots.toDF("pivot", "main"), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
+    # the pivot met everyone already, so neither side needs it again
+    rest = stored(common.drop("central").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+                  .join(main, "shingle").where("node <> pivot").withColumn("inside", F.col("root") == F.col("main")).drop("pivot", "main"), "rest")
+    outside = rest.where("not inside")
     if not outside.isEmpty():
-        more = _verified(_met(_met_in(rest, outside), percent), docs, known, words, percent)
-        roots = components(links.unionByName(more))
+        other = rest.select("shingle", F.col("root").alias("other_root"), F.col("inside").alias("other_inside"), *[F.col(c).alias(n) for c, n in named.items()])
+        once = F.col("other_inside") | (F.col("node") < F.col("other"))
+        met = outside.join(other, "shingle").where((F.col("root") != F.col("other_root")) & once & _may_link(percent))
+        roots = components(links.unionByName(_verified(_pairs(met), docs, known, words, percent)))
     return rows.select("doc_id", "n", "node"), roots
 
 

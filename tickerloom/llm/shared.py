@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.session import work_folder
+from tickerloom.session import stored  # noqa: F401  (the operators take it from here)
 
 # Bytes of text hashed at once: bounds the numpy arrays of a task, not what is read.
 BLOCK_BYTES = 2 << 20
@@ -18,13 +18,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, lineage cut."""
-    path = work_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     x = x ^ (x >> np.uint64(31))
