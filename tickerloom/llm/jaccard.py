@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm.components import components
-from tickerloom.llm.shared import mix64, shingles, stored, word_hashes
+from tickerloom.llm.shared import mix64, shingles, sliced, stored, word_hashes
 
 WORDS = 5
 PERCENT = 80
@@ -264,7 +264,7 @@ def one_per_class(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             nodes, size = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for _, values, offsets in _sets(batch.column("text"), words):
                 nodes.append(_nodes(values, offsets))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.shared import BLOCK_BYTES
+from tickerloom.llm.shared import BLOCK_BYTES, sliced
 from tickerloom.llm.spans import FOUND, SPAN_TYPE, masked, ordered
 
 ANY = True                                # a query that every text meets
@@ -216,7 +216,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by its kind in brackets; rows without secrets
     and all other columns stay as they are, but ``n_chars`` follows a changed text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts, out = batch.column("text").to_pylist(), []
             spans = (s for part in blocks([t or "" for t in texts]) for s in default_scan().block(part))
             for text, found in zip(texts, spans, strict=True):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickerloom.session import stored  # noqa: F401  (the operators take it from here)
 
 # Bytes of text hashed at once: bounds the numpy arrays of a task, not what is read.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,13 @@ def _hash_block(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, hashes, np.searchsorted(starts, rows)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what goes back to the JVM stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def word_blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Blocks ``(first row, bytes, starts, ends, hashes, offsets)`` of the words of a string column.
 

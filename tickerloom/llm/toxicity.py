@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.shared import word_blocks
+from tickerloom.llm.shared import sliced, word_blocks
 
 ORDER = 5                               # bytes of a gram, at most 8
 MOST_PER_CLASS = 10_000
@@ -270,7 +270,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array(shared.value.score(batch.column("text")) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
