@@ -5,15 +5,17 @@ first, so two sets alike enough share a shingle among the first few of each: tho
 only rows that meet, on the shingle.  Pairs pass a length filter, a positional filter and a suffix
 filter, and every pair left is verified once on the whole sets.
 
-No shingle gives all pairs of its nodes.  First every node meets the most central node of each of its
-prefix shingles (as many rows as postings), and the links found make classes.  Then only nodes outside
-the class of that node meet the others, and only where classes differ: within a class nothing is left
-to find.  So a group of near copies costs a row per posting, and no link between classes is lost.
+No shingle gives all pairs of its nodes.  First every node meets the pivot of each of its prefix
+shingles (as many rows as postings), and the links found make classes.  The pivot is the node that has
+the shingle earliest in its order: what a copy changed is rare and comes first, so the text copied from
+stands before its copies.  Then only nodes outside the class of the pivot meet the others, and only
+where classes differ: within a class nothing is left to find.  So a group of near copies costs a row
+per posting, and no link between classes is lost.
 
 The suffix filter bounds from below how many shingles two sets do not share.  Every shingle belongs to
 a hash range; sets that differ little have equal parities of their counts in most ranges.  These
-parities, 256 bits, are compared inside the join, before a pair becomes a row; counts per range follow
-for each pair.
+parities, 256 bits, are compared once per pair of a node and a pivot, and inside the join where other
+nodes meet, before a pair becomes a row; counts per range follow for each pair.
 
 The order comes from a fixed number of counters over all shingles of all texts.  It decides how many
 pairs are met, never which ones qualify.  Shingles and nodes are 64-bit hashes.
@@ -34,7 +36,7 @@ from tickerloom.llm.shared import mix64, shingles, sliced, stored, word_hashes
 
 WORDS = 5
 PERCENT = 80
-COUNTER_BITS = 24                       # counters of the order: a fixed 16 MB once they are levels
+COUNTER_BITS = 26                       # counters of the order: a byte each, a fixed 64 MB
 COUNTER_PARTS = 64
 RANGES = 32                             # hash ranges of the suffix filter, by counts
 PARITY = ("p0", "p1", "p2", "p3")       # and by parities, 64 ranges to a number
@@ -88,12 +90,13 @@ def _texts(docs: DataFrame) -> DataFrame:
 def _sizes(docs: DataFrame, words: int) -> DataFrame:
     """Two kinds of rows in one pass: every document with its node, and each task's counters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << COUNTER_BITS, np.uint32)
+        counts = np.zeros(1 << COUNTER_BITS, np.uint8)     # a task counts to 255; sums over tasks go on
         nothing = pa.nulls
         for batch in batches:
             for row, values, offsets in _sets(batch.column(1), words):
                 rows = len(offsets) - 1
-                np.add.at(counts, _counter(values), np.uint32(1))
+                met, times = np.unique(_counter(values), return_counts=True)
+                counts[met] = np.minimum(counts[met] + times, 255)
                 of = np.repeat(np.arange(rows), np.diff(offsets))
                 ranges = (values >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
                 spread = np.bincount(of * RANGES + ranges, minlength=rows * RANGES).astype(np.int32)
@@ -118,7 +121,7 @@ def _order(sizes: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                more = np.frombuffer(zstandard.ZstdDecompressor().decompress(counts), np.uint32).astype(np.int64)
+                more = np.frombuffer(zstandard.ZstdDecompressor().decompress(counts), np.uint8).astype(np.int32)
                 sums[part] = sums[part] + more if part in sums else more
         level = {p: np.minimum(8 * np.log2(1 + s), 255).astype(np.uint8).tobytes() for p, s in sums.items()}
         yield pa.RecordBatch.from_arrays([pa.array(list(level), pa.int32()), pa.array(list(level.values()), pa.binary())], names=["part", "counts"])
@@ -157,17 +160,26 @@ def _postings(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> D
     return stored(_texts(docs).mapInArrow(run, POSTINGS), "postings")
 
 
+def _need(percent: int, n: str, other_n: str) -> Column:
+    """The least number of shingles that linked sets of these sizes share."""
+    return F.expr(f"({percent}L * ({n} + {other_n}) + {99 + percent}) div {100 + percent}")
+
+
 def _may_link(percent: int) -> Column:
-    """Whether a row's two nodes, met on a shingle, pass the length, positional and parity filters.
+    """Whether a row's two nodes, met on a shingle, pass the length and the positional filter.
 
     What two sets share is at most what can stand before the common shingle in both, that shingle,
     and what can follow it in both."""
     small, large = F.least("n", "other_n"), F.greatest("n", "other_n")
     ahead = F.least("place", "other_place")
     behind = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
-    need = F.expr(f"({percent}L * (n + other_n) + {99 + percent}) div {100 + percent}")
-    apart = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"other_{p}"))) for p in PARITY[1:]), F.bit_count(F.col("p0").bitwiseXOR(F.col("other_p0"))))
-    return (small * 100 >= large * percent) & (ahead + behind >= need) & (apart <= F.col("n") + F.col("other_n") - 2 * need)
+    return (small * 100 >= large * percent) & (ahead + behind >= _need(percent, "n", "other_n"))
+
+
+def _parities_near(percent: int, n: str, other_n: str, mine: str, others: str) -> Column:
+    """Whether the parities ``<mine>p0``.. and ``<others>p0``.. differ in no more ranges than linked sets can."""
+    apart = [F.bit_count(F.col(mine + p).bitwiseXOR(F.col(others + p))) for p in PARITY]
+    return sum(apart[1:], apart[0]) <= F.col(n) + F.col(other_n) - 2 * _need(percent, n, other_n)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -175,12 +187,14 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets are alike enough: suffix filter on counts, then the sets."""
-    node = known.select("node", "n", "spread")
-    both = pairs.join(node.toDF("a", "a_n", "a_spread"), "a").join(node.toDF("b", "b_n", "b_spread"), "b")
+    """The pairs whose whole sets are alike enough: parities, then counts per range, then the sets."""
+    node = known.select("node", "n", *PARITY)
+    both = pairs.join(node.toDF("a", "a_n", *[f"a_{p}" for p in PARITY]), "a").join(node.toDF("b", "b_n", *[f"b_{p}" for p in PARITY]), "b")
+    near = stored(both.where(_parities_near(percent, "a_n", "b_n", "a_", "b_")).select("a", "b", "a_n", "b_n"), "near")
+    node = known.select("node", "spread")
+    both = near.join(node.toDF("a", "a_spread"), "a").join(node.toDF("b", "b_spread"), "b")
     apart = F.aggregate(F.zip_with("a_spread", "b_spread", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    need = F.expr(f"({percent}L * (a_n + b_n) + {99 + percent}) div {100 + percent}")
-    left = stored(both.where(apart <= F.col("a_n") + F.col("b_n") - 2 * need).select("a", "b"), "pairs")
+    left = stored(both.where(apart <= F.col("a_n") + F.col("b_n") - 2 * _need(percent, "a_n", "b_n")).select("a", "b"), "pairs")
 
     wanted = left.select(F.col("a").alias("node")).unionByName(left.select(F.col("b").alias("node"))).distinct()
     sample = known.join(wanted, "node", "left_semi").select("doc_id").distinct()
@@ -194,8 +208,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, words: int, p
                     pa.array(_nodes(values, offsets)),
                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))], names=["node", "grams"])
 
-    sets = stored(texts.mapInArrow(run, "node long, grams array<long>").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    met = left.join(sets.toDF("b", "b_grams"), "b").join(sets.toDF("a", "a_grams"), "a")
+    # dealt by node once for both ends; only the sets of one end move to the other
+    sets = texts.mapInArrow(run, "node long, grams array<long>").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    met = left.join(sets.toDF("a", "a_grams"), "a").join(sets.toDF("b", "b_grams"), "b")
     shared = F.size(F.array_intersect("a_grams", "b_grams"))
     return stored(met.where(shared * 100 >= (F.size("a_grams") + F.size("b_grams") - shared) * percent).select("a", "b"), "links")
 
@@ -209,26 +224,25 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "spread", *PARITY)]), "nodes")
     ends = postings.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("shingle")
     shared = stored(postings.join(ends, "shingle").distinct(), "shared")
-    # what a copy changed is rare and fills its prefix; the text copied from shares most of its own
-    central = shared.groupBy("node").agg(F.count(F.lit(1)).alias("central"))
-    common = stored(shared.join(central, "node").join(known.select("node", *PARITY), "node"), "common")
-
-    named = {"node": "other", "n": "other_n", "place": "other_place"} | {p: f"other_{p}" for p in PARITY}
-    pivots = stored(common.groupBy("shingle").agg(F.max(F.struct("central", *named)).alias("pivot"))
-                    .select("shingle", *[F.col(f"pivot.{c}").alias(name) for c, name in named.items()]), "pivots")
-    stars = common.join(pivots, "shingle").where((F.col("node") != F.col("other")) & _may_link(percent))
-    links = _verified(_pairs(stars), docs, known, words, percent)
+    pivots = shared.groupBy("shingle").agg(F.min(F.struct("place", "node", "n")).alias("pivot"), F.count(F.lit(1)).alias("holders"))
+    stars = stored(shared.join(pivots, "shingle").where("node <> pivot.node").select(
+        "shingle", "node", "n", "place", F.col("pivot.node").alias("other"), F.col("pivot.n").alias("other_n"),
+        F.col("pivot.place").alias("other_place"), "holders"), "stars")
+    links = _verified(_pairs(stars.where(_may_link(percent))), docs, known, words, percent)
     roots = components(links)
 
-    main = pivots.select("shingle", F.col("other").alias("pivot")).join(roots.toDF("pivot", "main"), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
-    # the pivot met everyone already, so neither side needs it again
-    rest = stored(common.drop("central").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-                  .join(main, "shingle").where("node <> pivot").withColumn("inside", F.col("root") == F.col("main")).drop("pivot", "main"), "rest")
+    # the pivot met everyone already: what is left is between other holders, where there are two
+    rest = stored(stars.where("holders > 2").select("shingle", "node", "n", "place", F.col("other").alias("pivot"))
+                  .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+                  .join(roots.toDF("pivot", "main"), "pivot", "left").withColumn("inside", F.col("root") == F.coalesce("main", "pivot"))
+                  .drop("pivot", "main").join(known.select("node", *PARITY), "node"), "rest")
     outside = rest.where("not inside")
     if not outside.isEmpty():
-        other = rest.select("shingle", F.col("root").alias("other_root"), F.col("inside").alias("other_inside"), *[F.col(c).alias(n) for c, n in named.items()])
+        named = {c: f"other_{c}" for c in ("n", "place", "root", "inside", *PARITY)} | {"node": "other"}
+        other = rest.select("shingle", *[F.col(c).alias(name) for c, name in named.items()])
         once = F.col("other_inside") | (F.col("node") < F.col("other"))
-        met = outside.join(other, "shingle").where((F.col("root") != F.col("other_root")) & once & _may_link(percent))
+        met = outside.join(other, "shingle").where((F.col("root") != F.col("other_root")) & once & _may_link(percent)
+                                                   & _parities_near(percent, "n", "other_n", "", "other_"))
         roots = components(links.unionByName(_verified(_pairs(met), docs, known, words, percent)))
     return rows.select("doc_id", "n", "node"), roots
 
