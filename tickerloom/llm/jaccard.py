@@ -36,7 +36,7 @@ from tickerloom.llm.shared import mix64, shingles, sliced, stored, word_hashes
 
 WORDS = 5
 PERCENT = 80
-COUNTER_BITS = 26                       # counters of the order: a byte each, a fixed 64 MB
+COUNTER_BITS = 25                       # counters of the order: a byte each, a fixed 32 MB
 COUNTER_PARTS = 64
 RANGES = 32                             # hash ranges of the suffix filter, by counts
 PARITY = ("p0", "p1", "p2", "p3")       # and by parities, 64 ranges to a number
