@@ -204,3 +204,10 @@ def test_detail_assignment(spark):
     companies = spark.createDataFrame([(0, "A", "Alpha Bank"), (1, "B", "Alpha Bank Plus")], "ord int, ticker string, company_name string")
     details = spark.createDataFrame([(0, "alpha"), (1, "Alpha Bank Plus Holding"), (2, "zeta")], "detail_ord int, detail_name string")
     assert E.assign_details(companies, details, "ord", "detail_ord").collect() == [("A", 1)]
+
+
+def test_meta_values_without_quotes_and_with_the_other_quote(spark):
+    pages = ['<meta name=date content=2024-01-02>', """<meta property="og:title" content="it's here">""", "<meta name=dateline content=2024-01-02>"]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
+    assert column(df.select("i", HT._meta_contents(F.col("h"), "name", "date").alias("v"))) == [["2024-01-02"], [], []]
+    assert column(df.select("i", HT.page_title(F.col("h")).alias("v")))[1] == "it's here"

@@ -29,9 +29,11 @@ def page_title(html: Column) -> Column:
 
 def _meta_contents(html: Column, attribute: str, value: str) -> Column:
     tags = F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*>"), F.lit(0))
-    wanted = rf"(?i)\b{attribute}\s*=\s*[\"']{re.escape(value)}[\"']"
+    plain = re.escape(value)
+    wanted = rf"(?i)\b{attribute}\s*=\s*(?:\"{plain}\"|'{plain}'|{plain}(?=[\s/>]))"
+    content = r"(?i)\bcontent\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
     hits = F.filter(tags, lambda t: t.rlike(wanted))
-    return F.transform(hits, lambda t: F.regexp_extract(t, r"(?i)\bcontent\s*=\s*[\"']([^\"']*)[\"']", 1))
+    return F.transform(hits, lambda t: F.regexp_replace(F.regexp_extract(t, content, 1), r"^[\"']|[\"']$", ""))
 
 
 def _first_time(candidates: Column) -> Column:
