@@ -92,6 +92,16 @@ def test_one_per_class(spark):
     assert jaccard.near_duplicate_classes(docs.limit(0)).collect() == []
 
 
+def test_a_row_without_doc_id_hides_no_equal_row(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, long), (None, ""), (5, long), (None, long), (3, long + " more"), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = jaccard.near_duplicate_classes(docs, 5, 80).where("doc_id is not null")
+    assert got(found) == [(3, 57, 3), (5, 56, 3), (8, 0, 8)]
+    kept = jaccard.one_per_class(docs).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, long), (0, ""), (0, long), (3, long + " more"), (8, "")])
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(7, 7), (5, 4)]
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()

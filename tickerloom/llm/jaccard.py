@@ -142,10 +142,10 @@ def _postings(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> D
         for batch in batches:
             for row, values, offsets in _sets(batch.column(1), words):
                 nodes, size = _nodes(values, offsets), np.diff(offsets)
+                named = batch.column(0).slice(row, len(size)).is_valid().to_numpy(zero_copy_only=False)
+                fit = np.flatnonzero(named & (size > 0) & ~np.isin(nodes, seen))
                 new = np.zeros(len(size), bool)
-                new[np.unique(nodes, return_index=True)[1]] = True
-                new &= ~np.isin(nodes, seen) & (size > 0)
-                new &= batch.column(0).slice(row, len(size)).is_valid().to_numpy(zero_copy_only=False)
+                new[fit[np.unique(nodes[fit], return_index=True)[1]]] = True
                 seen = np.union1d(seen, nodes[new])
                 of = np.repeat(np.arange(len(size)), size)
                 by = np.lexsort((values, level[_counter(values)], of))
