@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, fingerprints, jaccard, katz, packing, pii, secrets, sharding, toxicity, warc
-from tickerloom.llm.shared import documents
+from tickerloom.llm import decontaminate, fingerprints, jaccard, katz, packing, pii, runs, secrets, sharding, toxicity, warc
+from tickerloom.llm.shared import documents, sliced
 from tickerloom.llm.spans import digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +84,48 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Katz backoff score of every document, the model from six sevenths of them."""
     return katz.scores(documents(spark, sf_dir))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` in which a tenth of the texts, chosen by the digest of doc_id, repeat a stretch from some
+    word on to their end; the other texts, and rows without doc_id, stay as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            texts = batch.column(1).to_pylist()
+            for row, doc_id in enumerate(batch.column(0).to_pylist()):
+                h = zlib.crc32(str(doc_id).encode())
+                if doc_id is None or h % 10 or not (words := (texts[row] or "").encode().split()):
+                    continue
+                g, n = h // 10, len(words)
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                words[a:] = (words[a: a + p] * -(-(n - a) // p))[: n - a]
+                texts[row] = b" ".join(words).decode()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .mapInArrow(run, "doc_id long, text string")
+
+
+def _less_periodic(left: Column, right: Column) -> Column:
+    """Order of runs: the greatest exact length / period, then the smallest start, then period."""
+    ours, theirs = left["length"] * right["period"], right["length"] * left["period"]
+    return (
+        F.when(ours > theirs, -1).when(ours < theirs, 1)
+        .when(left["start"] != right["start"], F.when(left["start"] < right["start"], -1).otherwise(1))
+        .otherwise((left["period"] > right["period"]).cast("int") - (left["period"] < right["period"]).cast("int"))
+    )
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, a tenth of them made periodic."""
+    found = runs.periodic_runs(with_periods(documents(spark, sf_dir)))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    best = F.get(F.array_sort("runs", _less_periodic), F.lit(0))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -31,7 +31,8 @@ mix64 = _mix
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+_CASED = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+_BYTE = _CASED.copy()
 _BYTE[65:91] = _BYTE[97:123]          # A-Z count as a-z
 _BASE = 0x9FB21C651E98DF25            # odd, so it has an inverse modulo 2**64
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -53,7 +54,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def _hash_block(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _hash_block(data: np.ndarray, rows: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the words in the bytes ``data`` and, per row border in ``rows``,
     the words before it."""
     n = len(data)
@@ -71,7 +72,7 @@ def _hash_block(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     power, back = _powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:n], out=sums[1:])
+    np.cumsum((_BYTE if fold else _CASED)[data] * power[:n], out=sums[1:])
     hashes = _mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
     return starts, ends, hashes, np.searchsorted(starts, rows)
 
@@ -83,11 +84,13 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def word_blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def word_blocks(
+    column: pa.Array, fold: bool = True,
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Blocks ``(first row, bytes, starts, ends, hashes, offsets)`` of the words of a string column.
 
-    Words are runs of bytes other than white space (space, 9 to 13), hashed with A-Z lower-cased; row
-    ``i`` of a block has the words ``offsets[i]`` to ``offsets[i + 1]``.  Null counts as empty.  A text
+    Words are runs of bytes other than white space (space, 9 to 13), hashed with A-Z lower-cased
+    unless ``fold`` is false; row ``i`` of a block has the words ``offsets[i]`` to ``offsets[i + 1]``.  Null counts as empty.  A text
     longer than a block comes in several blocks of that one row, cut at white space.
     """
     column = column.fill_null("") if column.null_count else column
@@ -102,18 +105,18 @@ def word_blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray,
         stop = min(max(stop, row + 1), rows)
         lo, hi = offsets[row], offsets[stop]
         if hi - lo <= BLOCK_BYTES:
-            yield row, data[lo:hi], *_hash_block(data[lo:hi], offsets[row: stop + 1] - lo)
+            yield row, data[lo:hi], *_hash_block(data[lo:hi], offsets[row: stop + 1] - lo, fold)
         else:
             for piece in _long_pieces(data[lo:hi]):
-                yield row, piece, *_hash_block(piece, np.array([0, len(piece)]))
+                yield row, piece, *_hash_block(piece, np.array([0, len(piece)]), fold)
         row = stop
 
 
-def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def word_hashes(column: pa.Array, fold: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Blocks ``(first row, hashes, offsets)`` like ``word_blocks``, but whole rows only: a text
     longer than a block comes as a block of its own."""
     held: list = []
-    for row, _, _, _, hashes, offsets in word_blocks(column):
+    for row, _, _, _, hashes, offsets in word_blocks(column, fold):
         if held and held[0] != row:
             yield _joined(held)
             held = []
