@@ -11,8 +11,9 @@ def test_ids_equal_the_json_tokenizer():
     from tokenizers import Tokenizer
 
     reader = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    reader.encode_special_tokens = True
-    for text in ["", "a", "it's 'S we're\n\n x\t y  ", "<|endoftext|> é ñ 字 \U0001f600", "aaaa" * 500, "12 345\r\n\r\n  z" * 40]:
+    scripts = "".join(chr(c) for a in (0, 0x80, 0x370, 0x400, 0x590, 0x900, 0xE00, 0x3040, 0x4E00, 0xAC00, 0x1F600) for c in range(a, a + 96))
+    special = ["<|endoftext|> x", "a<|endoftext|>", "<|endoftext|><|endoftext|>", " <|endoftext|>\n", "<|endoftext|", "<|END|>"]
+    for text in [scripts, scripts[::-1], " ".join(scripts), *special, "", "a", "it's 'S we're\n\n x\t y  ", "<|endoftext|> é ñ 字 \U0001f600", "aaaa" * 500, "12 345\r\n\r\n  z" * 40]:
         assert packing.encode(text).tolist() == [*reader.encode(text, add_special_tokens=False).ids, 0]
     assert packing.encode(None).tolist() == [0]
 

@@ -28,29 +28,38 @@ SEQUENCE_TOKENS = 2048
 OPEN_BINS = 4096
 PIECES_PER_TASK = 100_000
 END_ID = 0
+# The added token of the vocabulary; its id follows those of the ranks.
+SPECIAL = "<|endoftext|>"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 @lru_cache(maxsize=1)
 def _encoder(ranks_file: str | None):
-    """The byte-level BPE of ``byte_bpe_50k.json``, from its rank file: the same ids, some five
-    times faster than the tokenizers library reads them from the JSON file (a test compares both)."""
+    """The byte-level BPE of ``byte_bpe_50k.json`` with its special token, from its rank file: the same
+    ids, some five times faster than the tokenizers library gives them (a test compares both)."""
     import public_tokenizers
     import tiktoken
 
     path = ranks_file or public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
 
 
 def encode(text: str | None, ranks_file: str | None = None) -> np.ndarray:
     """Ids of a whole text as unsigned 32-bit numbers, ended by ``END_ID``; null counts as empty."""
-    ids = _encoder(ranks_file).encode_to_numpy(text, disallowed_special=()) if text else []
+    ids = _encoder(ranks_file).encode_to_numpy(text, allowed_special="all") if text else []
     return np.append(np.asarray(ids, "<u4"), np.uint32(END_ID)).astype("<u4", copy=False)
 
 
+@lru_cache(maxsize=1)
+def token_bytes(ranks_file: str | None = None) -> np.ndarray:
+    """Bytes of text that each id stands for."""
+    encoder = _encoder(ranks_file)
+    return np.array([len(encoder.decode_single_token_bytes(i)) for i in range(encoder.n_vocab)])
+
+
 def cuts(length: int, limit: int) -> list[int]:
     """Starts of the pieces of a document: whole ones of ``limit`` ids, the first may be shorter."""
     return [0, *range(length % limit or limit, length, limit)]
