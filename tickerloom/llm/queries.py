@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, fingerprints, jaccard, katz, packing, pii, runs, secrets, sharding, toxicity, warc
+from tickerloom.llm import decontaminate, fingerprints, jaccard, katz, packing, pii, runs, secrets, sharding, toxicity, warc, windows
 from tickerloom.llm.shared import documents, sliced
 from tickerloom.llm.spans import digest
 
@@ -129,3 +129,9 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@_query
+def op13_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of at most 1024 ids, in their order."""
+    return windows.pack_in_order(documents(spark, sf_dir))
