@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, fingerprints, jaccard, katz, packing, pii, runs, secrets, sharding, toxicity, warc, windows
-from tickerloom.llm.shared import documents, sliced
+from tickerloom.llm import decontaminate, fingerprints, jaccard, katz, packing, pii, runs, secrets, sharding, toxicity, trie, warc, windows
+from tickerloom.llm.shared import documents, sliced, stored
 from tickerloom.llm.spans import digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,27 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of at most 1024 ids, in their order."""
     return windows.pack_in_order(documents(spark, sf_dir))
+
+
+def with_shared_starts(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations rebuilt from the first turns of another one and their own later turns: their turns
+    and their lengths, as ``trie.prefix_trie`` takes them."""
+    own = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    shared = F.crc32(F.col("conv_id").cast("string")) % 9
+    plan = own.select("conv_id", "n", shared.alias("h"), (F.col("conv_id") - F.col("conv_id") % 5).alias("base")) \
+        .join(own.select(F.col("conv_id").alias("base"), F.col("n").alias("base_n")), "base", "left") \
+        .withColumn("taken", F.least("h", F.coalesce("base_n", F.lit(0).cast("long")))) \
+        .withColumn("n_turns", F.col("taken") + F.greatest(F.col("n") - F.col("h"), F.lit(0).cast("long")))
+    plan = stored(plan.select("conv_id", "base", "h", "n", "taken", "n_turns"), "plan")
+    columns = ["conv_id", "pos", "a", "b", "n_bytes", "n_turns"]
+    starts = turns.where("pos < 8").withColumnRenamed("conv_id", "base").join(plan, "base").where("pos < taken").select(*columns)
+    rest = turns.withColumn("chunk", trie.chunk_of(F.col("pos"))).join(trie.per_chunk(plan, F.col("n")), ["conv_id", "chunk"]) \
+        .where("pos >= h").withColumn("pos", F.col("pos") - F.col("h") + F.col("taken")).select(*columns)
+    return starts.unionByName(rest), plan
+
+
+@_query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt on the first turns of another."""
+    turns = stored(trie.numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "numbered")
+    return trie.prefix_trie(*with_shared_starts(turns))
