@@ -5,6 +5,8 @@ from collections import defaultdict
 
 import pytest
 
+from tests.compare import connect, difference
+from tests.conftest import SF
 from tickerloom.llm import queries, trie
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -114,3 +116,8 @@ def test_one_conversation_with_most_rows(spark, monkeypatch):
 def test_query_equals_brute_force(spark, tmp_path, rows):
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
     assert as_rows(queries.op12_conversation_trie(spark, str(tmp_path))) == (brute(rebuilt(ordered(rows))) if rows else [])
+
+
+def test_query_equals_sql(spark):
+    name = "op12_conversation_trie"
+    assert difference(queries.QUERIES[name](spark, SF), connect(SF), queries.ORACLE[name]) is None

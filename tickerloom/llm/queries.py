@@ -159,3 +159,49 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trie of all conversations, each rebuilt on the first turns of another."""
     turns = stored(trie.numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "numbered")
     return trie.prefix_trie(*with_shared_starts(turns))
+
+
+ORACLE["op12_conversation_trie"] = """
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+hashed AS (
+  SELECT conv_id, xor(list_reduce(
+    list_concat([4294967295::UBIGINT], list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+                LAMBDA i: ascii(substr(CAST(conv_id AS VARCHAR), i, 1))::UBIGINT)),
+    LAMBDA c, b: list_reduce(list_concat([xor(c, b)], list_transform(range(8), LAMBDA k: 0::UBIGINT)),
+      LAMBDA x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)), 4294967295::UBIGINT) % 9 AS h
+  FROM ids),
+numbered AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+joined AS (
+  SELECT h.conv_id, 0 AS part, n.pos, n.role, n.text
+  FROM hashed h JOIN numbered n ON n.conv_id = h.conv_id - h.conv_id % 5 AND n.pos < h.h
+  UNION ALL
+  SELECT h.conv_id, 1, n.pos, n.role, n.text FROM hashed h JOIN numbered n ON n.conv_id = h.conv_id AND n.pos >= h.h),
+rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth,
+         md5(length(role) || ':' || role || text) AS turn_md5, strlen(text) AS n_bytes
+  FROM joined),
+paths AS (
+  SELECT conv_id, 0 AS depth, '' AS path, 0 AS n_bytes FROM ids
+  UNION ALL
+  SELECT conv_id, depth, md5(string_agg(turn_md5, '') OVER (PARTITION BY conv_id ORDER BY depth)), n_bytes FROM rebuilt),
+lengths AS (SELECT conv_id, max(depth) AS n_turns FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(n_bytes) AS own FROM paths GROUP BY depth, path),
+parents AS (
+  SELECT n.depth, n.path, p.path AS parent_path, q.conv_id AS parent_conv_id
+  FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 JOIN nodes q ON q.depth = p.depth AND q.path = p.path),
+children AS (SELECT depth - 1 AS depth, parent_path AS path, count(*) AS n_children FROM parents GROUP BY ALL),
+below AS (
+  SELECT p.depth, p.path, CAST(sum(u.own) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves
+  FROM nodes u LEFT JOIN children c USING (depth, path) JOIN paths p ON p.conv_id = u.conv_id AND p.depth <= u.depth GROUP BY ALL),
+ends AS (
+  SELECT p.depth, p.path, string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) AS ids
+  FROM paths p JOIN lengths l ON l.conv_id = p.conv_id AND l.n_turns = p.depth GROUP BY ALL)
+SELECT n.conv_id, n.depth, r.parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, b.n_leaves, b.saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n LEFT JOIN parents r USING (depth, path) LEFT JOIN children c USING (depth, path)
+JOIN below b USING (depth, path) LEFT JOIN ends e USING (depth, path)
+"""
