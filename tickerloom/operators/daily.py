@@ -16,6 +16,9 @@ from tickerloom.operators.keyed import add_first_value, unknown_only
 from tickerloom.operators.stats import mode_per_key, ratio
 
 
+EXACT_SCORE = "decimal(20,9)"
+
+
 def map_entities(
     articles: DataFrame, companies: DataFrame, mentions: DataFrame, body_chars: int | None = None
 ) -> DataFrame:
@@ -53,7 +56,11 @@ def enrich_articles(
 def daily_features(
     enriched: DataFrame, score: str = "score", type_columns: Sequence[str] = K.TYPE_FLAGS
 ) -> DataFrame:
-    """Per ticker and day: distinct articles, score mean and deviation, flag and type sums."""
+    """Per ticker and day: distinct articles, score mean and deviation, flag and type sums.
+
+    Scores are summed in billionths, so the mean does not depend on the order of the rows and scores
+    that cancel give exactly 0.
+    """
     positive = (F.col("sentiment") == "positive").cast("int")
     negative = (F.col("sentiment") == "negative").cast("int")
     sums: dict[str, Column | str] = {
@@ -67,7 +74,7 @@ def daily_features(
     # distinct articles apart, on three columns: the sums are then combined before their shuffle
     articles = rows.select("ticker", "date", "url").distinct().groupBy("ticker", "date").agg(F.count("url").alias("news_count"))
     totals = rows.groupBy("ticker", "date").agg(
-        F.avg(score).alias("avg_sentiment"),
+        (F.sum(F.col(score).cast(EXACT_SCORE)).cast("double") / F.nullif(F.count(score), F.lit(0))).alias("avg_sentiment"),
         F.coalesce(F.stddev_samp(score), F.lit(0.0)).alias("std_sentiment"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in sums.items()],
     )

@@ -1,27 +1,27 @@
 """Finding companies and sectors in texts.
 
-Every match rule is an equi-join on an anchor (a character run or a token) followed by an exact
-test, so no rule compares all texts with all names.  The anchor of a name is its rarest part
-among all names, which keeps names with a common beginning apart.
+Every match rule looks for an anchor of the entry (a run of bytes or a token) and then tests exactly, so
+no rule compares all texts with all names.  The anchor of a name is its run that is rarest in texts, then
+among names, which keeps names with common words in them apart.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom import constants as K
 from tickerloom.functions.text import fold_text, strip_index_prefix, tokens
 from tickerloom.operators.keyed import fits
+from tickerloom.session import stored
 
 SMALL_ROWS = 20_000   # anchor tables up to this many rows may be broadcast
 
 
-def _runs(text: Column, size: int) -> Column:
-    """All character runs of one length, overlapping."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
-
-
 def _rarest(parts: DataFrame, item: str, part: str, keep: Column) -> DataFrame:
     """The ``keep`` least frequent parts of each item; ties by the part itself."""
     frequency = parts.groupBy(part).agg(F.count("*").alias("_freq"))
@@ -32,41 +32,140 @@ def _rarest(parts: DataFrame, item: str, part: str, keep: Column) -> DataFrame:
     return ranked.select(item, F.explode(F.transform(chosen, lambda s: s[part])).alias(part))
 
 
+RUN_BYTES = 4         # bytes of an anchor; shorter names are anchored whole
+FILTER_BITS = 24      # bits of the filter of anchors, two megabytes at any number of names
+SAMPLE_TEXTS = 2_000  # texts in which runs are counted: decides which anchors are used, never what matches
+BLOCK_BYTES = 1 << 20
+
+
+def _runs(data: np.ndarray, size: int) -> np.ndarray:
+    """Every run of ``size`` bytes as a number that tells its length too."""
+    n = len(data) - size + 1
+    out = np.full(max(n, 0), size << 32, np.int64)
+    for k in range(size):
+        out |= data[k: k + len(out)].astype(np.int64) << (8 * k)
+    return out
+
+
+def _slot(runs: np.ndarray) -> np.ndarray:
+    return (runs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)
+
+
+def _name_runs(name: bytes) -> np.ndarray:
+    return np.unique(_runs(np.frombuffer(name, np.uint8), min(RUN_BYTES, len(name))))
+
+
+def _marked(bits: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    slot = _slot(runs)
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _hits(column: pa.Array, bits: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """``(row, text, runs)`` for the texts of a column that hold runs of the filter.
+
+    Numbers are made for a block of bytes at a time, whatever the texts' lengths.
+    """
+    if not len(column):
+        return
+    column = column.cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
+    body = column.buffers()[2]
+    data = np.frombuffer(body, np.uint8) if body is not None else np.empty(0, np.uint8)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for lo in range(int(offsets[0]), int(offsets[-1]), BLOCK_BYTES):
+        for size in sizes:
+            runs = _runs(data[lo: min(lo + BLOCK_BYTES + size - 1, int(offsets[-1]))], size)
+            at = np.flatnonzero(_marked(bits, runs))
+            # runs over the border of two texts go with the first; the exact test drops them
+            found.append((np.searchsorted(offsets, at + lo, "right") - 1, runs[at]))
+    rows, runs = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ([], [])))
+    order = np.lexsort((runs, rows))
+    rows, runs = rows[order], runs[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (runs[1:] != runs[:-1])
+    rows, begins = np.unique(rows[new], return_index=True)
+    for row, runs in zip(rows.tolist(), np.split(runs[new], begins[1:]) if len(rows) else [], strict=True):
+        yield row, data[offsets[row]: offsets[row + 1]].tobytes(), runs
+
+
+def _filter_of(runs: DataFrame) -> np.ndarray:
+    """The bits of all ``runs(_run)``, combined in the tasks; what comes here has a fixed bound."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        for batch in batches:
+            slot = _slot(np.asarray(batch.column(0)))
+            np.bitwise_or.at(bits, slot >> np.uint64(6), np.uint64(1) << (slot & np.uint64(63)))
+        at = np.flatnonzero(bits)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits[at].view(np.int64))], names=["word", "bits"])
+
+    words = runs.select("_run").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[np.asarray(words["word"])] = np.asarray(words["bits"])
+    return out.view(np.uint64)
+
+
+def _anchors(names: DataFrame, lowered: DataFrame) -> DataFrame:
+    """``(_name, _run)``: of every distinct name the run that is rarest in a sample of the texts, then
+    among names."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [_name_runs(n.encode()) for n in batch.column(0).to_pylist()]
+            at = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(np.concatenate(runs))], names=["_name", "_run"])
+
+    parts = stored(names.select("_name").distinct().mapInArrow(cut, "_name string, _run long"), "name-runs")
+    bits, sizes = _filter_of(parts), _sizes(parts)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [r for _, _, r in _hits(batch.column(0), bits, sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *runs]))], names=["_run"])
+
+    in_texts = lowered.select("_low").limit(SAMPLE_TEXTS).mapInArrow(count, "_run long").groupBy("_run").agg(F.count("*").alias("_texts"))
+    in_names = parts.groupBy("_run").agg(F.count("*").alias("_names"))
+    rarest = F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("t"), F.col("_names").alias("n"), F.col("_run").alias("_run")))
+    return parts.join(in_names, "_run").join(in_texts, "_run", "left").groupBy("_name").agg(rarest.getField("_run").alias("_run"))
+
+
+def _sizes(runs: DataFrame) -> list[int]:
+    return sorted(r[0] for r in runs.select(F.shiftright("_run", 32)).distinct().collect())   # at most RUN_BYTES
+
+
 def containment_join(
-    texts: DataFrame, key: str, text: str, names: DataFrame, name: str,
-    run: int = 4, small_rows: int = SMALL_ROWS,
+    texts: DataFrame, key: str, text: str, names: DataFrame, name: str, small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """(key, columns of ``names``) where the text contains the name, ignoring case.
 
-    ``key`` must be unique in ``texts``.  Names shorter than ``run`` are anchored whole; text
-    runs of such short sizes are only built when a name needs them.
+    ``key`` must be unique in ``texts``.  A task marks the runs of its texts that are anchors in a filter
+    of fixed size and nothing else leaves a text.  Up to ``small_rows`` names are sent to all tasks, where
+    the exact test follows at once; more names meet the marked runs in a join, and the texts again.
     """
     named = names.withColumn("_name", F.lower(F.col(name))).where(F.length("_name") > 0)
-    distinct = named.select("_name").distinct()
-    pieces = F.when(F.length("_name") < run, F.array("_name")).otherwise(_runs(F.col("_name"), run))
-    parts = distinct.select("_name", F.explode(F.array_distinct(pieces)).alias("_run"))
-    anchors = _rarest(parts, "_name", "_run", F.lit(1))
-    sizes = anchors.agg(F.collect_set(F.length("_run"))).scalar()   # at most `run` values
-    # Lower-cased below the explode, so once per text and not once per run.
     lowered = texts.where(F.col(text).isNotNull()).select(key, F.lower(F.col(text)).alias("_low"))
-    empty = F.array().cast("array<string>")
-    runs = F.array_distinct(F.concat(*[
-        F.when(F.array_contains(sizes, F.lit(n)), _runs(F.col("_low"), n)).otherwise(empty) for n in range(1, run + 1)
-    ]))
-    if fits(named.select("_name"), small_rows):   # one anchor per distinct name
-        # One pass: probing stays inside the task, the text is never written out per run.
-        hits = (
-            lowered.select(key, "_low", F.explode(runs).alias("_run"))
-            .join(F.broadcast(anchors), "_run").where(F.col("_low").contains(F.col("_name")))
-            .select(key, "_name")
-        )
+    anchors = stored(_anchors(named, lowered), "anchors")
+    bits, sizes = _filter_of(anchors), _sizes(anchors)
+    kind = lowered.schema[key].dataType.simpleString()
+    small = anchors.count() <= small_rows
+    by_run: dict[int, list[bytes]] = {}
+    for r in anchors.collect() if small else ():
+        by_run.setdefault(r["_run"], []).append(r["_name"].encode())
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, values = [], []
+            for row, body, runs in _hits(batch.column(1), bits, sizes):
+                inside = [n.decode() for r in runs.tolist() for n in by_run.get(r, ()) if n in body] if small else runs.tolist()
+                rows += [row] * len(inside)
+                values += inside
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(values, pa.string() if small else pa.int64())], names=[key, "_found"])
+
+    if small:
+        hits = lowered.mapInArrow(find, f"`{key}` {kind}, _found string").withColumnRenamed("_found", "_name")
     else:
-        # Shuffle only (key, run); fetch the text again for the candidates.
-        candidates = lowered.select(key, F.explode(runs).alias("_run")).join(anchors, "_run").select(key, "_name")
-        hits = (
-            candidates.join(lowered, key)
+        marked = lowered.mapInArrow(find, f"`{key}` {kind}, _found long").withColumnRenamed("_found", "_run")
+        hits = marked.join(anchors, "_run").select(key, "_name").join(lowered, key) \
             .where(F.col("_low").contains(F.col("_name"))).select(key, "_name")
-        )
     return hits.join(named, "_name").drop("_name")
 
 

@@ -10,6 +10,7 @@ from tickerloom.operators import daily as D
 from tickerloom.operators.keyed import unknown_only
 from tickerloom.plans.catalog import query
 from tickerloom.session import work_folder
+from tickerloom.sources.keyed_table import KeyedTable
 from tickerloom.sources.upsert import insert_ignore, upsert
 from tickerloom.streaming import feed as ST
 
@@ -20,18 +21,31 @@ def _feed(w):
     return ST.read_feed(w.spark, w.folder, w.table("events").schema, "ts", "events.parquet")
 
 
-def _feed_in_batches(w, files: int = 4):
-    """The same feed as several files, one per micro-batch, each with rows of the whole time span:
-    later batches bring older rows."""
+FILE_DAYS = 5   # days of events per file of the feed
+
+
+def _feed_in_batches(w):
+    """The feed as it arrives: files of ``FILE_DAYS`` days each, one per micro-batch, and every ninth
+    event only with the next file, so late by that many days.  They are written one after the other,
+    since a stream takes files in the order of their times."""
     folder = work_folder(w.spark, "feed")
-    w.table("events").repartitionById(files, F.pmod(F.xxhash64("event_id"), F.lit(files)).cast("int")).write.parquet(folder)
-    return ST.read_feed(w.spark, folder, w.table("events").schema, "ts", "*.parquet", files_per_batch=1)
+    events = w.table("events")
+    span = events.agg(F.min(F.to_date("ts")).alias("first"), F.max(F.to_date("ts")).alias("last")).first()
+    number = F.floor(F.datediff(F.to_date("ts"), F.lit(span["first"])) / FILE_DAYS) + (F.col("event_id") % 9 == 4).cast("int")
+    for n in range((span["last"] - span["first"]).days // FILE_DAYS + 2 if span["first"] else 0):
+        events.where(number == n).write.mode("append").parquet(folder)
+    return ST.read_feed(w.spark, folder, events.schema, "ts", "*.parquet", files_per_batch=1)
 
 
 @query("I1_feed_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def i1(w):
-    unique = ST.dedup_feed(_feed(w).select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "60 days")
-    return ST.drain(unique, "feed-dedup").select("user_id", "event_type")
+    """A poll's repeats go in the stream, repeats of what an earlier poll stored at the table."""
+    folder = work_folder(w.spark, "feed-dedup")
+    unique = ST.dedup_feed(_feed_in_batches(w).select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts")
+    table = KeyedTable.create(w.spark.createDataFrame([], "user_id bigint, event_type string"), f"{folder}/table", ["user_id", "event_type"], 16)
+    insert = lambda old, batch: insert_ignore(old, batch.select("user_id", "event_type"), ["user_id", "event_type"])
+    ST.upsert_stream(unique, table, f"{folder}/checkpoint", insert).awaitTermination()
+    return table.read()
 
 
 @query("I2_late_cut", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 7 DAY")
@@ -44,6 +58,7 @@ def i2(w):
 def i3(w):
     folder = work_folder(w.spark, "stream-upsert")
     empty = w.spark.createDataFrame([], "user_id bigint, n bigint, last_day date")
+    table = KeyedTable.create(empty, f"{folder}/table", ["user_id"], 16)
 
     def merge(old, batch):
         part = batch.groupBy("user_id").agg(F.count("*").alias("n"), F.to_date(F.max("ts")).alias("last_day"))
@@ -53,48 +68,43 @@ def i3(w):
         )
         return upsert(old, total, ["user_id"])
 
-    ST.upsert_stream(_feed_in_batches(w), f"{folder}/table", f"{folder}/checkpoint", merge, empty).awaitTermination()
-    newest = w.spark.read.parquet(f"{folder}/table")
-    return newest.where(F.col("version") == newest.agg(F.max("version")).scalar()).drop("version")
+    ST.upsert_stream(_feed_in_batches(w), table, f"{folder}/checkpoint", merge).awaitTermination()
+    return table.read()
 
 
 @query("I3_stream_insert_ignore", "SELECT DISTINCT user_id, event_type FROM events")
 def i3_bridge(w):
     folder = work_folder(w.spark, "stream-bridge")
-    empty = w.spark.createDataFrame([], "user_id bigint, event_type string")
+    table = KeyedTable.create(w.spark.createDataFrame([], "user_id bigint, event_type string"), f"{folder}/table", ["user_id", "event_type"], 16)
     merge = lambda old, batch: insert_ignore(old, batch.select("user_id", "event_type"), ["user_id", "event_type"])
-    ST.upsert_stream(_feed_in_batches(w), f"{folder}/table", f"{folder}/checkpoint", merge, empty).awaitTermination()
-    newest = w.spark.read.parquet(f"{folder}/table")
-    return newest.where(F.col("version") == newest.agg(F.max("version")).scalar()).drop("version")
+    ST.upsert_stream(_feed_in_batches(w), table, f"{folder}/checkpoint", merge).awaitTermination()
+    return table.read()
 
 
 @query("I4_running_counts", "SELECT event_type, CAST(date_trunc('week', ts) AS DATE) AS week, count(*) AS n, CAST(min(ts) AS DATE) AS first_seen FROM events GROUP BY 1, 2")
 def i4(w):
-    changes = ST.drain(ST.running_counts(_feed_in_batches(w), "event_type", "ts", "60 days"), "counters", "update")
+    changes = ST.drain(ST.running_counts(_feed_in_batches(w), "event_type", "ts"), "counters", "update")
     state = ST.latest_state(changes, ["event_type", "week"])
     return state.select("event_type", F.to_date("week").alias("week"), "n", F.to_date("first_seen").alias("first_seen"))
 
 
-@query("I5_daily_windows", """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, sum(value) AS total FROM events
-WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2""", rounded="total")
+@query("I5_daily_windows", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY 1, 2", rounded="total")
 def i5(w):
     aggs = [F.count("*").alias("n"), F.sum("value").alias("total")]
-    closed = ST.drain(ST.windowed(_feed(w), "ts", ["event_type"], aggs, "1 day", lateness="1 day"), "daily")
-    return closed.select(F.to_date("start").alias("day"), "event_type", "n", "total")
+    windows = ST.windowed(_feed_in_batches(w), "ts", ["event_type"], aggs, "1 day")
+    return ST.drain_windows(windows, ["event_type"], "daily").select(F.to_date("start").alias("day"), "event_type", "n", "total")
 
 
-@query("I5_weekly_windows", """SELECT week_start, event_type, count(*) AS n FROM (SELECT event_type, CAST(ts AS DATE) + CAST((8 - isodow(ts)) % 7 AS INTEGER) AS week_start FROM events)
-WHERE week_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2""")
+@query("I5_weekly_windows", "SELECT CAST(ts AS DATE) + CAST((8 - isodow(ts)) % 7 AS INTEGER) AS week_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def i5_weekly(w):
-    weekly = ST.windowed(_feed(w), "ts", ["event_type"], [F.count("*").alias("n")], "7 days", offset=ST.WEEK_OFFSET, lateness="1 day")
-    return ST.drain(weekly, "weekly").select(F.date_sub(F.to_date("end"), 1).alias("week_start"), "event_type", "n")
+    weekly = ST.windowed(_feed_in_batches(w), "ts", ["event_type"], [F.count("*").alias("n")], "7 days", offset=ST.WEEK_OFFSET)
+    return ST.drain_windows(weekly, ["event_type"], "weekly").select(F.date_sub(F.to_date("end"), 1).alias("week_start"), "event_type", "n")
 
 
-@query("I6_sliding_rate", """SELECT CAST(s AS VARCHAR) AS start, count(*) AS n FROM (SELECT unnest(generate_series(time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 45 MINUTE, time_bucket(INTERVAL 15 MINUTE, ts), INTERVAL 15 MINUTE)) AS s FROM events)
-WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1""")
+@query("I6_sliding_rate", """SELECT CAST(s AS VARCHAR) AS start, count(*) AS n FROM (SELECT unnest(generate_series(time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 45 MINUTE, time_bucket(INTERVAL 15 MINUTE, ts), INTERVAL 15 MINUTE)) AS s FROM events) GROUP BY 1""")
 def i6(w):
-    sliding = ST.windowed(_feed(w), "ts", [], [F.count("*").alias("n")], "1 hour", "15 minutes", lateness="1 hour")
-    return ST.drain(sliding, "rate").select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
+    sliding = ST.windowed(_feed_in_batches(w), "ts", [], [F.count("*").alias("n")], "1 hour", "15 minutes")
+    return ST.drain_windows(sliding, [], "rate").select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
 
 
 @query("I7_pending_batch", "SELECT event_id FROM events WHERE event_type = 'view' AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 100)")
@@ -105,12 +115,13 @@ def i7(w):
 
 
 @query("I7_pending_stream", """SELECT a.event_id, b.event_id AS result_id FROM events a LEFT JOIN events b ON b.event_type = 'purchase' AND b.user_id = a.user_id AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 1 DAY
-WHERE a.event_type = 'signup' AND (b.event_id IS NOT NULL OR a.ts < (SELECT least(max(ts) FILTER (WHERE event_type = 'signup'), max(ts) FILTER (WHERE event_type = 'purchase')) FROM events) - INTERVAL 2 DAY)""")
+WHERE a.event_type = 'signup'""")
 def i7_stream(w):
-    items = _feed(w).where("event_type = 'signup'").select("user_id", "event_id", F.col("ts").alias("at"))
-    results = _feed(w).where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("result_id"), F.col("ts").alias("done_at"))
+    feed = _feed_in_batches(w)
+    items = feed.where("event_type = 'signup'").select("user_id", "event_id", F.col("ts").alias("at"))
+    results = feed.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("result_id"), F.col("ts").alias("done_at"))
     joined = ST.pending_rows(items, results, "user_id", "at", "done_at", "1 day")
-    return ST.drain(joined.select("event_id", "result_id"), "pending")
+    return ST.drain_pending(joined.select("event_id", "result_id"), "event_id", "pending")
 
 
 @query("I8_live_monitor", "SELECT event_id, event_type FROM events ORDER BY event_id DESC LIMIT 50")

@@ -21,6 +21,7 @@ from tickerloom.plans.catalog import query
 from tickerloom.plans.gold import refresh_gold
 from tickerloom.session import work_folder
 from tickerloom.sources import files, sinks, silver
+from tickerloom.sources.keyed_table import KeyedTable
 from tickerloom.sources.upsert import append_or_replace, insert_ignore, upsert
 from tickerloom.sources.warehouse import ORDER_RULES
 
@@ -126,6 +127,13 @@ def s10(w):
     )
 
 
+def _merged(target, updates, keys, combine):
+    """The table that ``target`` is after a write of ``updates``, as readers see it."""
+    table = KeyedTable.create(target, work_folder(target.sparkSession, "keyed"), keys, 32)
+    table.merge(updates, combine)
+    return table.read()
+
+
 _SPLIT, _OVERLAP = datetime.date(1999, 1, 1), datetime.date(1998, 1, 1)
 
 
@@ -143,7 +151,8 @@ def s11(w):
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("close"), F.col("l_quantity").alias("volume"),
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("seq"),
     ).where(F.col("date") >= _OVERLAP)
-    return upsert(target, rows, ["ticker", "date"], newest=[F.desc("seq"), F.desc("close"), F.desc("volume")])
+    newest = [F.desc("seq"), F.desc("close"), F.desc("volume")]
+    return _merged(target, rows, ["ticker", "date"], lambda old, new: upsert(old, new, ["ticker", "date"], newest=newest))
 
 
 def _event_batches(w):
@@ -174,7 +183,8 @@ n AS (SELECT fingerprint, min(event_type) AS event_type, max(event_date) AS even
 FROM o FULL JOIN n ON n.fingerprint = o.fingerprint)""")
 def s12(w):
     old, new = _event_batches(w)
-    return upsert(old, new, ["fingerprint"], overwrite=["event_type", "event_date", "article_count"])
+    overwrite = ["event_type", "event_date", "article_count"]
+    return _merged(old, new, ["fingerprint"], lambda o, n: upsert(o, n, ["fingerprint"], overwrite=overwrite))
 
 
 @query("S13_upsert_fill", """SELECT coalesce(u.ticker, t.ticker) AS ticker,
@@ -191,7 +201,7 @@ def s13(w):
         F.when(F.col("s_acctbal") > 0, F.concat(F.lit("S"), "s_nationkey")).alias("sector"),
         F.when(F.col("s_acctbal") > 5000, "rich").alias("parent"),
     )
-    return upsert(target, updates, ["ticker"], fill=["sector", "parent"])
+    return _merged(target, updates, ["ticker"], lambda old, new: upsert(old, new, ["ticker"], fill=["sector", "parent"]))
 
 
 @query("S14_insert_ignore", "SELECT DISTINCT 'o' || l_orderkey AS article_url, CAST(l_suppkey AS VARCHAR) AS ticker FROM lineitem")
@@ -201,7 +211,8 @@ def s14(w):
         F.col("l_suppkey").cast("string").alias("ticker"), "l_returnflag",
     )
     stored = rows.where("l_returnflag = 'A'").drop("l_returnflag").distinct()
-    return insert_ignore(stored, rows.where("l_returnflag <> 'A'").drop("l_returnflag"), ["article_url", "ticker"])
+    keys = ["article_url", "ticker"]
+    return _merged(stored, rows.where("l_returnflag <> 'A'").drop("l_returnflag"), keys, lambda old, new: insert_ignore(old, new, keys))
 
 
 @query("S15_append_or_replace", """SELECT asset_key, date, CASE WHEN date >= DATE '2000-01-01' THEN close * 2 ELSE close END AS close FROM v_commodities""", rounded="close")
@@ -209,7 +220,8 @@ def s15(w):
     quotes = w.commodities.select("asset_key", "date", "close")
     stored = quotes.where(F.col("date") < F.lit("2000-06-01").cast("date"))
     fresh = quotes.where(F.col("date") >= F.lit("2000-01-01").cast("date")).withColumn("close", F.col("close") * 2)
-    return append_or_replace(stored, fresh, ["asset_key", "date"])
+    keys = ["asset_key", "date"]
+    return _merged(stored, fresh, keys, lambda old, new: append_or_replace(old, new, keys))
 
 
 @query("S16_unstored_only", """SELECT url FROM v_articles WHERE url NOT IN (SELECT article_url FROM v_article_events)""")

@@ -114,7 +114,8 @@ FROM (SELECT a.*, x.ticker, CAST(a.published_at AS DATE) AS date, {_URGENT} AS p
       FROM v_articles a JOIN v_mentions x ON x.article_url = a.url) m
 LEFT JOIN (SELECT article_url, min(event_type) AS llm_event_type FROM v_article_events GROUP BY 1) t ON t.article_url = m.url""",
     "v_daily": f"""SELECT *, positive_count * 1.0 / news_count AS positive_ratio, negative_count * 1.0 / news_count AS negative_ratio
-FROM (SELECT ticker, date, count(DISTINCT url) AS news_count, avg(score) AS avg_sentiment,
+FROM (SELECT ticker, date, count(DISTINCT url) AS news_count,
+  CAST(sum(CAST(score AS DECIMAL(20,9))) AS DOUBLE) / nullif(count(score), 0) AS avg_sentiment,
   coalesce(stddev_samp(score), 0) AS std_sentiment,
   CAST(sum(CAST(sentiment = 'positive' AS INTEGER)) AS BIGINT) AS positive_count,
   CAST(sum(CAST(sentiment = 'negative' AS INTEGER)) AS BIGINT) AS negative_count,

@@ -48,3 +48,9 @@ def work_folder(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="tickerloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

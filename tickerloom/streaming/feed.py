@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickerloom.session import work_folder
+from tickerloom.sources.keyed_table import KeyedTable
+
+
+CLEAN_EVERY = 10
 
 
 def read_feed(spark: SparkSession, folder: str, schema: T.StructType, ts: str, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -34,7 +38,8 @@ def dedup_feed(feed: DataFrame, keys: Sequence[str], ts: str, lookback: str = "7
 
 
 def windowed(feed: DataFrame, ts: str, keys: Sequence[str], aggs: Sequence[Column], length: str, slide: str | None = None, offset: str | None = None, lateness: str = "7 days") -> DataFrame:
-    """Event-time windows; in append mode only closed windows are emitted."""
+    """Event-time windows.  Append mode emits them closed; a feed that ends leaves the last ones open,
+    so a bounded feed is read by ``drain_windows``."""
     win = F.window(ts, length, slide or length, offset)
     return (
         feed.withWatermark(ts, lateness).groupBy(win, *keys).agg(*aggs)
@@ -81,32 +86,42 @@ def change_log(stream: DataFrame, folder: str, checkpoint: str, mode: str = "upd
 
 
 def latest_state(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Current value of every key in a change log."""
-    pos = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("batch")))
-    return changes.withColumn("_p", pos).where("_p = 1").drop("_p", "batch")
+    """Current value of every key in a change log, combined before the shuffle."""
+    values = [c for c in changes.columns if c not in (*keys, "batch")]
+    newest = F.max_by(F.struct(*values), "batch").alias("_newest")
+    return changes.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 
 
-def upsert_stream(
-    stream: DataFrame, folder: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame], empty: DataFrame
-) -> StreamingQuery:
-    """Micro-batch upsert: each batch merges into the newest table version and writes the next.
+def drain_windows(windows: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """Every window of a bounded feed: the closed ones, and the open ones with what they hold.
 
-    Version N+1 depends only on version N and batch N, so a replayed batch gives the same table.
+    The stream runs in update mode into a change log; a window's newest change is its value, whether
+    the watermark has passed it or the feed ended first.  State is released by the watermark as ever.
+    """
+    return latest_state(drain(windows, label, "update"), ["start", "end", *keys])
+
+
+def upsert_stream(stream: DataFrame, table: KeyedTable, checkpoint: str, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> StreamingQuery:
+    """Micro-batch upsert: batch N writes version N + 1 of the table, only the buckets it changes.
+
+    Each version depends on the one before and its batch alone, so a replayed batch gives the same table.
+    Versions older than the last two are removed every ``CLEAN_EVERY`` batches.
     """
-    spark = stream.sparkSession
 
     def apply(batch: DataFrame, number: int) -> None:
-        previous = empty if number == 0 else spark.read.parquet(f"{folder}/version={number - 1}")
-        merge(previous, batch).write.mode("overwrite").parquet(f"{folder}/version={number}")
+        table.merge(batch, combine, number + 1)
+        if number % CLEAN_EVERY == CLEAN_EVERY - 1:
+            table.vacuum()
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     return writer.foreachBatch(apply).start()
 
 
-def pending_rows(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, wait: str = "7 days") -> DataFrame:
-    """Stream-stream left join: items with no result within ``wait`` come out with NULL."""
-    a = left.withWatermark(left_ts, wait).alias("a")
-    b = right.withColumnRenamed(key, "_rkey").withWatermark(right_ts, wait).alias("b")
+def pending_rows(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, wait: str = "7 days", lateness: str = "7 days") -> DataFrame:
+    """Stream-stream left join: items with no result within ``wait`` come out with NULL, once rows of
+    that time can no longer arrive.  Rows up to ``lateness`` late are taken."""
+    a = left.withWatermark(left_ts, lateness).alias("a")
+    b = right.withColumnRenamed(key, "_rkey").withWatermark(right_ts, lateness).alias("b")
     return a.join(
         b,
         F.expr(f"{key} = _rkey AND {right_ts} >= {left_ts} AND {right_ts} <= {left_ts} + INTERVAL {wait}"),
@@ -114,6 +129,21 @@ def pending_rows(left: DataFrame, right: DataFrame, key: str, left_ts: str, righ
     )
 
 
+def drain_pending(joined: DataFrame, item: str, label: str) -> DataFrame:
+    """All rows of a bounded ``pending_rows`` stream, items that still wait at its end included.
+
+    What the stream emitted is read back; the items it still held in its last state and never emitted
+    follow with NULL results.  ``item`` is a column of the items that names them.
+    """
+    spark = joined.sparkSession
+    base = work_folder(spark, label)
+    sink(joined, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    emitted = spark.read.schema(joined.schema).parquet(f"{base}/out")
+    held = spark.read.format("statestore").option("joinSide", "left").load(f"{base}/checkpoint")
+    waiting = held.select("value.*").join(emitted.select(item).distinct(), item, "left_anti")
+    return emitted.unionByName(waiting.select(*[c for c in waiting.columns if c in emitted.columns]), allowMissingColumns=True)
+
+
 def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Run a stream over everything available and read its table back.
 
