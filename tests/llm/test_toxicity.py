@@ -92,3 +92,24 @@ def test_evidence_does_not_depend_on_blocks(monkeypatch):
     whole = model.features(column)
     monkeypatch.setattr(shared, "BLOCK_BYTES", 9)
     assert np.allclose(model.features(column), whole)
+
+
+def test_scale_does_not_depend_on_the_sample_size(spark):
+    """A bound that binds both classes leaves the share of predicted rows and the scores about as they are."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    found = {}
+    for most in (10_000, 300):
+        rows = {r.doc_id: r for r in toxicity.scores(docs, toxicity.fit(docs, labels, most)).collect()}
+        found[most] = sum(r.predicted for r in rows.values()), np.mean([r.score for r in rows.values()])
+    (all_n, all_mean), (few_n, few_mean) = found[10_000], found[300]
+    assert few_n == pytest.approx(all_n, rel=0.25) and few_mean == pytest.approx(all_mean, abs=0.05)
+
+
+def test_shares_weigh_classes_like_repeated_rows():
+    rnd = np.random.default_rng(2)
+    x = np.column_stack([rnd.normal(size=(80, 6)), np.ones(80)])
+    label = (x[:, 0] + rnd.normal(size=80) > 0).astype(float)
+    model = lambda: toxicity.Model(np.empty(0, np.uint64), np.empty(0), np.empty(0, np.uint64), np.empty(0))
+    repeated = np.concatenate([x, *[x[label == 0]] * 4]), np.concatenate([label, *[label[label == 0]] * 4])
+    a, b = model().scaled(x, label, (5.0, 1.0)), model().scaled(*repeated)
+    assert np.allclose(a.weights, b.weights, atol=1e-4) and np.allclose(a.mean, b.mean)

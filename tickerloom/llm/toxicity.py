@@ -12,7 +12,8 @@ evidence, by how much of it lies in strongly toxic words, and by its length; a l
 on labelled documents the counts did not see, turns that into a score.
 
 The labelled sample is bounded: at most ``MOST_PER_CLASS`` documents of each class, those with the
-least hash of doc_id, a quarter of them for the scale.  Every document of the table is scored whole.
+least hash of doc_id, a quarter of them for the scale.  The scale weighs both classes as all labelled rows
+do, so the bound does not move it.  Every document of the table is scored whole.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.shared import sliced, word_blocks
+from tickerloom.llm.shared import sliced, trimmed, word_blocks
 
 ORDER = 5                               # bytes of a gram, at most 8
 MOST_PER_CLASS = 10_000
@@ -152,17 +153,23 @@ class Model:
         x = (self.features(column)[:, :-1] - self.mean) / self.spread
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + x @ self.weights[1:], -35, 35)))
 
-    def scaled(self, features: np.ndarray, label: np.ndarray) -> Model:
-        """Fits the logistic scale, by Newton steps with a small ridge."""
+    def scaled(self, features: np.ndarray, label: np.ndarray, share: tuple[float, float] = (1.0, 1.0)) -> Model:
+        """Fits the logistic scale, by Newton steps with a small ridge.
+
+        ``share`` are the rows that a row of the ordinary and of the toxic class stands for: the sample
+        is bounded by class, and the scale is that of all labelled rows whatever the bound."""
         x = features[:, :-1]
-        self.mean, self.spread = x.mean(0), x.std(0) + 1e-9
+        weight = np.where(label == 1, share[1], share[0])
+        weight = weight * (len(x) / weight.sum())
+        self.mean = np.average(x, axis=0, weights=weight)
+        self.spread = np.sqrt(np.average((x - self.mean) ** 2, axis=0, weights=weight)) + 1e-9
         z = np.column_stack([np.ones(len(x)), (x - self.mean) / self.spread])
         ridge = 1e-3 * len(x) * np.eye(z.shape[1])
         ridge[0, 0] = 1e-6
         w = np.zeros(z.shape[1])
         for _ in range(60):
             p = 1 / (1 + np.exp(-np.clip(z @ w, -35, 35)))
-            step = np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + ridge, z.T @ (p - label) + ridge @ w)
+            step = np.linalg.solve((z * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ z + ridge, z.T @ (weight * (p - label)) + ridge @ w)
             w -= step
             if np.abs(step).max() < 1e-8:
                 break
@@ -191,10 +198,14 @@ def _shared(keys: np.ndarray, level: np.ndarray) -> np.ndarray:
     return out
 
 
+def _training(labels: DataFrame) -> DataFrame:
+    return labels.where("doc_id is not null and toxic in (0, 1)").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("_toxic")).where(~held_out(F.col("doc_id")))
+
+
 def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """Texts of the labelled sample with their class and part; the sample's ids are bounded."""
-    rows = labels.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("_toxic")) \
-        .where(~held_out(F.col("doc_id")))
+    rows = _training(labels)
     picked = [rows.where(f"_toxic = {c}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in (0, 1)]
     chosen = picked[0].unionByName(picked[1]).withColumn("_part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SCALE_PARTS)).cast("int"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -227,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_per_class: int = MOST_PER_CLASS
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), c, np.int32)), pa.array(counts)], names=["gram", "toxic", "n"])
 
     sample = _sample(docs, labels, most_per_class)
-    counted = sample.where("_part > 0").select("text", "_toxic").mapInArrow(count, "gram long, toxic int, n long") \
+    counted = sample.where("_part > 0").select("text", "_toxic").mapInArrow(trimmed(count), "gram long, toxic int, n long") \
         .groupBy("gram").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("o"))
     table = counted.toPandas()          # grams of the bounded sample
     order = np.argsort(table["gram"].to_numpy(np.int64).view(np.uint64))
@@ -245,12 +256,14 @@ def fit(docs: DataFrame, labels: DataFrame, most_per_class: int = MOST_PER_CLASS
             found = shared.value.features(batch.column(0))
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(np.arange(0, found.size + 1, _NUMBERS, dtype=np.int32), found.reshape(-1)), batch.column(1)], names=["x", "toxic"])
 
-    rows = sample.where("_part = 0").select("text", "_toxic").mapInArrow(describe, "x array<double>, toxic int").toPandas()
+    rows = sample.where("_part = 0").select("text", "_toxic").mapInArrow(trimmed(describe), "x array<double>, toxic int").toPandas()
     label = rows["toxic"].to_numpy(float)
     if label.min(initial=1) == label.max(initial=0):
         label, x = np.array([0.0, 1.0]), np.array([[0.0] * 4 + [0, 4, 1], [1.0] * 4 + [1, 4, 1]])    # no rows to scale by
         return model.scaled(x, label)
-    return model.scaled(np.stack(rows["x"].to_list()), label)
+    every = {r["_toxic"]: r["n"] for r in _training(labels).groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = tuple(max(every.get(c, 0) / most_per_class, 1.0) for c in (0, 1))
+    return model.scaled(np.stack(rows["x"].to_list()), label, share)
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -261,7 +274,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(batch.column(1)))], names=["doc_id", "score"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimmed(run), "doc_id long, score double")
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -273,4 +286,4 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
         for batch in sliced(batches):
             yield batch.filter(pa.array(shared.value.score(batch.column("text")) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
