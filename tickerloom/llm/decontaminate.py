@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm.secrets import blocks
+from tickerloom.llm.shared import sliced, trimmed
 
 Q = 8
 EDIT_SHARE = 0.1
@@ -204,7 +205,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = Benchmark(shared.value)
-            for batch in batches:
+            for batch in sliced(batches):
                 ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
                 rows, at = [], 0
                 for part in blocks(texts, BLOCK_CHARS):
@@ -216,7 +217,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "start", "end", "distance"])
 
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, MATCHES)
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimmed(run), MATCHES)
 
     return reduce(DataFrame.unionByName, map(search, _passes(docs, benchmark)))
 
@@ -229,10 +230,10 @@ def without_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known = Benchmark(shared.value)
-            for batch in batches:
+            for batch in sliced(batches):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 clean = [not found for part in blocks(texts, BLOCK_CHARS) for found in known.search(part)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        kept = kept.mapInArrow(run, docs.schema)
+        kept = kept.mapInArrow(trimmed(run), docs.schema)
     return kept

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm.components import components
-from tickerloom.llm.shared import mix64, shingles, sliced, stored, word_hashes
+from tickerloom.llm.shared import mix64, shingles, sliced, stored, trimmed, word_hashes
 
 WORDS = 5
 PERCENT = 80
@@ -112,7 +112,7 @@ def _sizes(docs: DataFrame, words: int) -> DataFrame:
             *[nothing(len(parts), pa.int64())] * 4, pa.array(range(len(parts)), pa.int32()), pa.array([packer.compress(p.tobytes()) for p in parts], pa.binary())],
             names=["doc_id", "n", "node", "spread", *PARITY, "part", "counts"])
 
-    return stored(_texts(docs).mapInArrow(run, SIZES), "sizes")
+    return stored(_texts(docs).mapInArrow(trimmed(run), SIZES), "sizes")
 
 
 def _order(sizes: DataFrame) -> np.ndarray:
@@ -126,7 +126,7 @@ def _order(sizes: DataFrame) -> np.ndarray:
         level = {p: np.minimum(8 * np.log2(1 + s), 255).astype(np.uint8).tobytes() for p, s in sums.items()}
         yield pa.RecordBatch.from_arrays([pa.array(list(level), pa.int32()), pa.array(list(level.values()), pa.binary())], names=["part", "counts"])
 
-    rows = sizes.where("part is not null").select("part", "counts").repartition("part").mapInArrow(run, "part int, counts binary").collect()
+    rows = sizes.where("part is not null").select("part", "counts").repartition("part").mapInArrow(trimmed(run), "part int, counts binary").collect()
     out = np.zeros((COUNTER_PARTS, (1 << COUNTER_BITS) // COUNTER_PARTS), np.uint8)
     for r in rows:
         out[r.part] = np.frombuffer(r.counts, np.uint8)
@@ -157,7 +157,9 @@ def _postings(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> D
                     pa.array(values[by][keep].view(np.int64)), pa.array(nodes[of]), pa.array(size[of].astype(np.int32)), pa.array(place.astype(np.int32))],
                     names=["shingle", "node", "n", "place"])
 
-    return stored(_texts(docs).mapInArrow(run, POSTINGS), "postings")
+    postings = stored(_texts(docs).mapInArrow(trimmed(run), POSTINGS), "postings")
+    shared.destroy()
+    return postings
 
 
 def _need(percent: int, n: str, other_n: str) -> Column:
@@ -209,7 +211,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, words: int, p
                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))], names=["node", "grams"])
 
     # dealt by node once for both ends; only the sets of one end move to the other
-    sets = texts.mapInArrow(run, "node long, grams array<long>").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    sets = texts.mapInArrow(trimmed(run), "node long, grams array<long>").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     met = left.join(sets.toDF("a", "a_grams"), "a").join(sets.toDF("b", "b_grams"), "b")
     shared = F.size(F.array_intersect("a_grams", "b_grams"))
     return stored(met.where(shared * 100 >= (F.size("a_grams") + F.size("b_grams") - shared) * percent).select("a", "b"), "links")
@@ -286,7 +288,7 @@ def one_per_class(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.concatenate(nodes)), pa.array(np.concatenate(size) > 0)], names=[*names, "_node", "_some"])
 
-    marked = docs.mapInArrow(run, docs.select("*", F.lit(0).cast("long").alias("_node"), F.lit(True).alias("_some")).schema)
+    marked = docs.mapInArrow(trimmed(run), docs.select("*", F.lit(0).cast("long").alias("_node"), F.lit(True).alias("_some")).schema)
     free = (F.col("doc_id").isNull()) | ~F.col("_some")
     # rows of one class with the same doc_id and shingle set are copies: one of them
     chosen = marked.where(~free).join(kept, (F.col("doc_id") == F.col("_doc_id")) & (marked["_node"] == kept["_node"]), "left_semi") \

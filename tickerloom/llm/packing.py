@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.shared import stored
+from tickerloom.llm.shared import stored, trimmed
 
 SEQUENCE_TOKENS = 2048
 OPEN_BINS = 4096
@@ -91,7 +91,7 @@ def tokenised_pieces(
                 [pa.array(c, t) for c, t in zip(columns, types[: len(names)], strict=False)], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, schema)
+        .mapInArrow(trimmed(run), schema)
 
 
 class OpenBins:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.shared import BLOCK_BYTES, sliced
+from tickerloom.llm.shared import BLOCK_BYTES, sliced, trimmed
 from tickerloom.llm.spans import FOUND, SPAN_TYPE, masked, ordered
 
 ANY = True                                # a query that every text meets
@@ -229,4 +229,4 @@ def redacted(docs: DataFrame) -> DataFrame:
                 columns[at] = pa.array([n if a == b else len(b) for n, a, b in kept], columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,29 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+BATCH_BYTES = 8 << 20
+
+
+def lean(spark: SparkSession) -> None:
+    """Rows go to tasks in batches of at most ``BATCH_BYTES`` from here on in the session: long texts
+    fill the default batch with tens of megabytes, held several times over on either side."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` that gives freed memory back to the machine when its task ends: workers live on from
+    stage to stage, and what one stage needed is no use to the next."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return task
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     x = x ^ (x >> np.uint64(31))
