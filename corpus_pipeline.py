@@ -9,31 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickerloom.llm import decontaminate, jaccard, packing, secrets, toxicity
-from tickerloom.llm.shared import documents, stored
+from tickerloom.llm.shared import documents, lean, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models call toxic go."""
+    lean(spark)
     return toxicity.without_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies (five words, 0.8) the document with the least id stays."""
+    lean(spark)
     return jaccard.one_per_class(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark passage go."""
+    lean(spark)
     return decontaminate.without_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the text; no document goes."""
+    lean(spark)
     return secrets.redacted(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents left, in sequences of 2048 ids."""
+    lean(spark)
     return packing.pack_documents(docs)
 
 
