@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import BisectingKMeans, KMeans
@@ -13,12 +16,21 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickerloom.constants import MODEL_FEATURES
 from tickerloom.operators.quantiles import exact_quantiles, ranked_values
 from tickerloom.operators.stats import ratio
+from tickerloom.session import stored
+from tickerloom.sources.keyed_table import KeyedTable
 
 SEED = 42
+PREDICTION_SCHEMA = T.StructType([
+    T.StructField("ticker", T.StringType()), T.StructField("date", T.DateType()), T.StructField("direction", T.IntegerType()),
+    T.StructField("next_day_return", T.DoubleType()), T.StructField("pred_direction", T.IntegerType()),
+    T.StructField("p_up", T.DoubleType()), T.StructField("pred_return", T.DoubleType()),
+])
+PREDICTIONS = PREDICTION_SCHEMA.names
 
 
 def assemble(df: DataFrame, features: Sequence[str] = MODEL_FEATURES, targets: Sequence[str] = ()) -> DataFrame:
@@ -76,6 +88,52 @@ def predict(test: DataFrame, classifier: Model, regressor: Model) -> DataFrame:
     )
 
 
+def forest_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Test predictions of the class and return forests fitted on ``train``."""
+    train, test = stored(assemble(train), "train"), assemble(test)
+    return predict(test, fit_classifier(train), fit_regressor(train))
+
+
+def fit_sentiment(train: DataFrame, feature: str = "avg_sentiment") -> DataFrame:
+    """One-factor baseline, one row: the least-squares line of the next return on ``feature``, and the
+    centre, spread and sign by which the feature speaks for a rise."""
+    x, up, r = F.col(feature), F.col("direction").cast("double"), F.col("next_day_return")
+    slope = F.try_divide(F.covar_pop(r, x), F.var_pop(x))
+    return train.dropna(subset=[feature, "direction", "next_day_return"]).agg(
+        F.coalesce(slope, F.lit(0.0)).alias("slope"), (F.avg(r) - F.coalesce(slope, F.lit(0.0)) * F.avg(x)).alias("intercept"),
+        F.avg(x).alias("centre"), F.stddev_pop(x).alias("spread"), F.signum(F.round(F.covar_pop(up, x), 12)).alias("sign"),
+    )
+
+
+def predict_by_sentiment(test: DataFrame, model: DataFrame, feature: str = "avg_sentiment") -> DataFrame:
+    """(ticker, date, direction, next_day_return, pred_direction, p_up, pred_return); the chance of a
+    rise moves by 0.15 per spread of the feature, within 0 and 1."""
+    m = model.select(F.struct("*")).scalar()
+    z = F.coalesce(F.try_divide(F.col(feature) - m["centre"], m["spread"]), F.lit(0.0)) * m["sign"]
+    return test.select(
+        "ticker", "date", "direction", "next_day_return",
+        F.round(F.greatest(F.least(0.5 + 0.15 * z, F.lit(1.0)), F.lit(0.0)), 6).alias("p_up"),
+        F.round(m["intercept"] + m["slope"] * F.col(feature), 6).alias("pred_return"),
+    ).withColumn("pred_direction", (F.col("p_up") >= 0.5).cast("int"))
+
+
+def store_predictions(folder: str, model: str, predictions: DataFrame) -> int:
+    """Write a model's predictions as the next version of its table; reports read the newest one."""
+    spark, rows = predictions.sparkSession, predictions.select(*PREDICTIONS)
+    path = f"{folder}/{model}"
+    try:
+        table = KeyedTable(spark, path, rows.schema, ["ticker", "date"])
+        return table.replace(rows, table.version() + 1)
+    except AnalysisException:              # the first fit
+        KeyedTable.create(rows, path, ["ticker", "date"])
+        return 0
+
+
+def stored_predictions(spark: SparkSession, folder: str, model: str, version: int | None = None) -> DataFrame:
+    """A model's stored predictions, by default the newest."""
+    return KeyedTable(spark, f"{folder}/{model}", PREDICTION_SCHEMA, ["ticker", "date"]).read(version)
+
+
 def save_model(model: Model, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -162,19 +220,21 @@ def youden_threshold(points: DataFrame) -> DataFrame:
     return points.orderBy(gain.desc_nulls_last(), F.desc("threshold")).limit(1).select("threshold", gain.alias("j"))
 
 
-def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Rank-sum form of the area: (sum of positive ranks - P(P+1)/2) / (P*N), ties averaged."""
-    counted = df.dropna(subset=[label, score]).groupBy(score).agg(
+def area_under_roc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rank-sum form of the area: (sum of positive ranks - P(P+1)/2) / (P*N), ties averaged; one row
+    per group of ``by``."""
+    by = list(by)
+    counted = df.dropna(subset=[label, score]).groupBy(*by, score).agg(
         F.count("*").alias("_all"), F.sum(F.col(label).cast("long")).alias("_pos")
     )
-    ranks = ranked_values(counted, score, weight="_all").select(
-        score, (F.col("before") + (F.col("n") + 1) / 2).alias("_rank")
+    ranks = ranked_values(counted, score, by, weight="_all").select(
+        *by, score, (F.col("before") + (F.col("n") + 1) / 2).alias("_rank")
     )
-    sums = counted.join(ranks, score).agg(
+    sums = counted.join(ranks, [*by, score]).groupBy(*by).agg(
         F.sum(F.col("_rank") * F.col("_pos")).alias("r"), F.sum("_pos").alias("p"), F.sum("_all").alias("n")
     )
     p, n = F.col("p"), F.col("n") - F.col("p")
-    return sums.select(F.try_divide(F.col("r") - p * (p + 1) / 2, p * n).alias("auc"), p.alias("positives"), n.alias("negatives"))
+    return sums.select(*by, F.try_divide(F.col("r") - p * (p + 1) / 2, p * n).alias("auc"), p.alias("positives"), n.alias("negatives"))
 
 
 def average_precision(points: DataFrame) -> DataFrame:
@@ -196,33 +256,49 @@ def precision_recall_points(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def expanding_folds(df: DataFrame, date: str = "date", folds: int = 5) -> list[tuple[DataFrame, DataFrame]]:
-    """Time-series folds by date rank: train on the past, validate on the next block."""
-    days = df.select(date).distinct()   # calendar-bounded
-    block = F.ntile(folds + 1).over(W.orderBy(date))
-    tagged = df.join(days.select(date, block.alias("_fold")), date)
-    return [
-        (tagged.where(F.col("_fold") <= i).drop("_fold"), tagged.where(F.col("_fold") == i + 1).drop("_fold"))
-        for i in range(1, folds + 1)
-    ]
+def with_blocks(df: DataFrame, date: str = "date", folds: int = 5) -> DataFrame:
+    """``df`` with ``block`` 1 to ``folds + 1``: consecutive spans of as many dates each.  Fold ``i``
+    trains on the blocks up to ``i`` and validates on the next one."""
+    day = F.to_date(date)
+    days = df.select(day.alias("_day")).distinct()   # one row per calendar day, whatever the rows
+    block = F.ntile(folds + 1).over(W.orderBy("_day"))
+    return df.withColumn("_day", day).join(days.select("_day", block.alias("block")), "_day").drop("_day")
 
 
 def logistic_grid(
-    df: DataFrame, label: str = "direction", strengths: Sequence[float] = (0.01, 0.1, 1.0), folds: int = 5
+    df: DataFrame, label: str = "direction", strengths: Sequence[float] = (0.01, 0.1, 1.0), folds: int = 5, at_once: int = 4
 ) -> DataFrame:
-    """Validation AUC of L2 logistic regression per strength and fold."""
-    out = None
-    for fold, (train, valid) in enumerate(expanding_folds(df, folds=folds), 1):
-        train = train.persist()
-        for strength in strengths:
-            model = LogisticRegression(labelCol=label, regParam=strength, elasticNetParam=0.0).fit(train)
-            scored = model.transform(valid).withColumn("p", vector_to_array("probability")[1])
-            row = area_under_roc(scored, label, "p").select(
-                F.lit(fold).alias("fold"), F.lit(strength).alias("reg"), "auc"
-            )
-            out = row if out is None else out.unionByName(row)
-        train.unpersist()
-    return out
+    """Validation AUC of L2 logistic regression per strength and fold, with the rows of both sides.
+
+    The rows are stored once with their block; a fold is a weight column that leaves later blocks out,
+    so all fits read one cached table, ``at_once`` of them side by side.  The fitted models are rows of
+    a small table, and one pass scores every validation row with the models of its fold.
+    """
+    spark = df.sparkSession
+    names = [label, "features", "block"]
+    rows = stored(with_blocks(df, folds=folds).select(*names), "folds").select(
+        *names, *[(F.col("block") <= i).cast("double").alias(f"in{i}") for i in range(1, folds + 1)]).persist()
+
+    def fit(task: tuple[int, float]) -> tuple[int, float, float, list[float]]:
+        fold, strength = task
+        model = LogisticRegression(labelCol=label, weightCol=f"in{fold}", regParam=strength, elasticNetParam=0.0).fit(rows)
+        return fold, strength, float(model.intercept), [float(c) for c in model.coefficients]
+
+    tasks = [(i, s) for i in range(1, folds + 1) for s in strengths]
+    with ThreadPoolExecutor(at_once) as pool:
+        fitted = list(pool.map(inheritable_thread_target(spark)(fit), tasks))
+    sizes = rows.groupBy("block").agg(F.count("*").alias("n"))
+    rows.unpersist()
+    models = spark.createDataFrame(fitted, "fold int, reg double, intercept double, weights array<double>")
+    valid = rows.drop(*[f"in{i}" for i in range(1, folds + 1)]).withColumn("fold", F.col("block") - 1).join(F.broadcast(models), "fold")
+    product = F.zip_with(vector_to_array("features"), "weights", lambda x, c: x * c)
+    scored = valid.select("fold", "reg", label, (F.col("intercept") + F.aggregate(product, F.lit(0.0), lambda t, x: t + x)).alias("score"))
+    every = F.explode(F.sequence(F.lit(1), F.lit(folds))).alias("fold")
+    by_fold = sizes.select("block", "n", every).groupBy("fold").agg(
+        F.sum(F.when(F.col("block") <= F.col("fold"), F.col("n"))).alias("train_rows"),
+        F.sum(F.when(F.col("block") == F.col("fold") + 1, F.col("n"))).alias("valid_rows"))
+    counted = models.select("fold", "reg").join(by_fold, "fold")
+    return counted.join(area_under_roc(scored, label, "score", ["fold", "reg"]).select("fold", "reg", "auc"), ["fold", "reg"], "left")
 
 
 # --- embeddings --------------------------------------------------------------------------
@@ -253,7 +329,7 @@ def cluster(df: DataFrame, column: str, k: int = 5) -> DataFrame:
 
 
 def elbow(df: DataFrame, column: str, ks: Sequence[int] = tuple(range(1, 11))) -> DataFrame:
-    """(k, inertia) for each k; the vectors are cached across the fits."""
+    """(k, inertia) for each k; the vectors are cached across the fits and released after them."""
     vectors = as_vectors(df, column).select(column, "features").persist()
     out = None
     for k in ks:
@@ -263,6 +339,7 @@ def elbow(df: DataFrame, column: str, ks: Sequence[int] = tuple(range(1, 11))) -
             cost = KMeans(k=k, seed=SEED).fit(vectors).summary.trainingCost
             row = df.sparkSession.range(1).select(F.lit(k).alias("k"), F.lit(float(cost)).alias("inertia"))
         out = row if out is None else out.unionByName(row)
+    vectors.unpersist()
     return out
 
 

@@ -34,7 +34,7 @@ def wide_returns(wide: DataFrame) -> DataFrame:
 
 
 def return_correlations(commodities: DataFrame, keys: Sequence[str], top: int = 15) -> DataFrame:
-    """Strongest absolute return correlations between assets (needs more than 30 rows)."""
+    """Strongest absolute return correlations between assets; pairs of 30 rows or fewer come last, without r."""
     returns = wide_returns(wide_closes(commodities, keys))
     plain = returns.withColumnsRenamed({f"{k}_ret": k for k in keys})
     pairs = correlation_pairs(plain, list(keys), min_rows=31)

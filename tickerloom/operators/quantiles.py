@@ -1,8 +1,8 @@
 """Exact order statistics without a single-task sort.
 
-Values are first reduced to (value, count).  A bounded sketch splits them into balanced
-buckets; ranks are running counts inside a bucket plus the bucket's offset.  A value held by a
-third of all rows is one row after the first step.
+Values are first reduced to (value, count), so a value held by a third of all rows is one row.  A sample
+sort follows: ranges of values, split by a sample, as many as the number of distinct values asks for;
+ranks are running counts inside a range plus what the ranges before it hold.
 """
 
 from __future__ import annotations
@@ -15,39 +15,33 @@ from pyspark.sql import functions as F
 
 from tickerloom.session import stored
 
-BUCKETS = 256
+ROWS_PER_RANGE = 1_000_000   # distinct values of one task
 
 
-def ranked_values(
-    df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None, buckets: int = BUCKETS
-) -> DataFrame:
+def ranked_values(df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Columns ``by``, value, ``n`` (rows), ``before`` (rows below), ``total`` (rows of the group).
 
-    NULL values and NULL group keys are left out.
+    NULL values and NULL group keys are left out.  A group may span any number of ranges.
     """
     by = list(by)
     rows = F.count("*") if weight is None else F.sum(weight)
-    # read three times below, so stored once
     counts = stored(df.dropna(subset=[value, *by]).groupBy(*by, value).agg(rows.alias("n")), "counts")
-    steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    sketch = F.percentile_approx(F.col(value), steps, F.lit(100 * buckets)).alias("_edges")
-    if by:
-        edged = counts.join(counts.groupBy(*by).agg(sketch), by)
+    ranges = -(-counts.count() // ROWS_PER_RANGE)
+    if ranges > 1:
+        # stored, since a second sample could split elsewhere
+        placed = stored(counts.repartitionByRange(ranges, *by, value).withColumn("_range", F.spark_partition_id()), "ranges")
     else:
-        edged = counts.withColumn("_edges", counts.agg(sketch).scalar())
-    placed = edged.withColumn("_bucket", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
-    sizes = placed.groupBy(*by, "_bucket").agg(F.sum("n").alias("_size"))
-    # At most `buckets` rows per group from here on.
-    ahead = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *by, "_bucket",
-        F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_offset"),
+        placed = counts.withColumn("_range", F.lit(0))
+    # a row per group and range that it touches
+    ahead = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = placed.groupBy(*by, "_range").agg(F.sum("n").alias("_size")).select(
+        *by, "_range", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_offset"),
         F.sum("_size").over(W.partitionBy(*by)).alias("total"),
     )
-    inside = W.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*by, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     return (
         placed.withColumn("_below", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(offsets, [*by, "_bucket"])
+        .join(offsets, [*by, "_range"])
         .select(*by, value, "n", (F.col("_offset") + F.col("_below")).alias("before"), "total")
     )
 

@@ -1,9 +1,9 @@
-"""Pluggable row scorer."""
+"""User functions: row scorers, functions per group, rows from rows."""
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -55,3 +55,35 @@ def score_with(
 def score_by_lexicon(df: DataFrame, key: str, text: str, rules: TextRules = TextRules()) -> DataFrame:
     """Default scorer, as column expressions."""
     return df.select(key, F.inline(F.array(lexicon_sentiment(F.col(text), rules))))
+
+
+MOST_GROUP_ROWS = 5_000_000
+
+
+def per_group(
+    df: DataFrame, keys: Sequence[str], function: Scorer, schema: str, most_rows: int = MOST_GROUP_ROWS
+) -> DataFrame:
+    """``keys`` and what ``function`` makes of each group's rows, a pandas frame at a time.
+
+    A group is one frame in one task.  Groups are counted first, and one of more than ``most_rows`` rows
+    is refused by name: such a group needs an aggregate or a window.  NULL keys are a group.
+    """
+    large = df.groupBy(*keys).count().where(F.col("count") > most_rows).limit(1).collect()
+    if large:
+        raise ValueError(f"group {large[0][:-1]} has {large[0][-1]} rows, more than {most_rows}")
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = function(rows)
+        for at, (name, value) in enumerate(zip(keys, key, strict=True)):
+            out.insert(at, name, value)
+        return out
+
+    return df.groupBy(*keys).applyInPandas(run, f"{kinds}, {schema}")
+
+
+def rows_from(df: DataFrame, column: str, maker: type, schema: str) -> DataFrame:
+    """Every row of ``df`` beside the rows that ``maker().eval(value of column)`` yields; a row that yields
+    nothing goes.  The rows of one value leave the worker in batches as they are made."""
+    made = F.udtf(maker, returnType=schema)
+    return df.lateralJoin(made(F.col(column).outer()))

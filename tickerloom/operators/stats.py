@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +13,10 @@ from pyspark.sql import functions as F
 from tickerloom.operators.quantiles import average_ranks
 
 
+_SUMS = ("n", "x", "y", "xx", "yy", "xy")
+_FLAT = 1e-12    # a variance below this share of the sum of squares is rounding
+
+
 def ratio(top: Column, bottom: Column, default: float | None = 0.0) -> Column:
     """Quotient; undefined gives ``default``."""
     value = F.try_divide(top, bottom)
@@ -33,20 +39,40 @@ def pearson(x: Column, y: Column, min_rows: int = 1) -> Column:
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], min_rows: int = 31) -> DataFrame:
-    """Pearson r for every pair of the named columns, from rows where both have a value.
+    """(left, right, r, n) for every pair of the named columns, from the ``n`` rows where both have a
+    value; r is NULL below ``min_rows`` rows and for a constant column.
 
-    Each task reduces its rows to one partial result per column pair before the shuffle.
+    Tasks add up the products of their batches as matrices, with a mask for the values that are there,
+    and give one row per pair.  Values are taken from their column's mean first, so sums of squares
+    do not swamp what they measure.
     """
+    columns = list(columns)
+    k = len(columns)
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns]).first()
+    centred = df.select(*[(F.col(c).cast("double") - F.lit(float(means[c] or 0.0))).alias(c) for c in columns])
+    upper = np.triu_indices(k, 1)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, k, k))      # per pair: rows, x, y, xx, yy, xy
+        for batch in batches:
+            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), np.float64) for c in batch.columns])
+            there = ~np.isnan(x)
+            x, mask = np.where(there, x, 0.0), there.astype(np.float64)
+            sx, sxx = x.T @ mask, (x * x).T @ mask
+            sums += np.stack([mask.T @ mask, sx, sx.T, sxx, sxx.T, x.T @ x])
+        cells = [pa.array(upper[0], pa.int32()), pa.array(upper[1], pa.int32()), *(pa.array(m[upper]) for m in sums)]
+        yield pa.RecordBatch.from_arrays(cells, names=["i", "j", *_SUMS])
+
+    parts = centred.mapInArrow(add_up, "i int, j int, " + ", ".join(f"{c} double" for c in _SUMS))
+    n, x, y, xx, yy, xy = (F.col(c) for c in _SUMS)
+    some = F.nullif(n, F.lit(0.0))
+    vx, vy = F.greatest(xx - x * x / some, F.lit(0.0)), F.greatest(yy - y * y / some, F.lit(0.0))
+    varied = (vx > _FLAT * xx) & (vy > _FLAT * yy) & (n >= min_rows)
     names = F.array(*[F.lit(c) for c in columns])
-    cells = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"))
-    left = cells.select("_v", F.posexplode("_v").alias("_i", "_x"))
-    both = left.select("_i", "_x", F.posexplode("_v").alias("_j", "_y")).where("_i < _j")
-    measured = both.groupBy("_i", "_j").agg(
-        pearson(F.col("_x"), F.col("_y")).alias("r"), F.count("*").alias("_rows")
-    )
-    return measured.where(F.col("_rows") >= min_rows).select(
-        F.get(names, F.col("_i")).alias("left"), F.get(names, F.col("_j")).alias("right"), "r"
-    )
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    return total.select(
+        F.get(names, F.col("i")).alias("left"), F.get(names, F.col("j")).alias("right"),
+        F.when(varied, F.try_divide(xy - x * y / some, F.sqrt(vx * vy))).alias("r"), n.cast("long").alias("n"))
 
 
 def linear_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:

@@ -336,7 +336,7 @@ _CORR = ["news_count", "avg_sentiment", "positive_ratio", "event_ma", "event_ear
 
 
 @query("D27_feature_correlations", " UNION ALL ".join(
-    f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", corr({a}, {b}) AS r FROM v_daily" for i, a in enumerate(_CORR) for b in _CORR[i + 1:]), rounded="r")
+    f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", CASE WHEN count(*) >= 31 AND NOT isnan(corr({a}, {b})) THEN corr({a}, {b}) END AS r, count(*) AS n FROM v_daily" for i, a in enumerate(_CORR) for b in _CORR[i + 1:]), rounded="r")
 def d27(w):
     return ST.correlation_pairs(D.daily_features(w.enriched), _CORR)
 
@@ -499,7 +499,7 @@ def p22(w):
 
 @query("P23_correlation_pairs", f"""WITH wide AS (SELECT date, {', '.join(f"max(close) FILTER (WHERE asset_key = '{b}') AS " + f'b{i}' for i, b in enumerate(BRANDS))} FROM v_commodities GROUP BY date),
  ret AS (SELECT {', '.join(f'b{i} / nullif(lag(b{i}) OVER (ORDER BY date), 0) - 1 AS r{i}' for i in range(25))} FROM wide)
-SELECT * FROM ({' UNION ALL '.join(f"SELECT '{BRANDS[i]}' AS " + '"left"' + f", '{BRANDS[j]}' AS " + '"right"' + f", CASE WHEN NOT isnan(corr(r{i}, r{j})) THEN corr(r{i}, r{j}) END AS r FROM ret" for i in range(25) for j in range(i + 1, 25))})
+SELECT * FROM ({' UNION ALL '.join(f"SELECT '{BRANDS[i]}' AS " + '"left"' + f", '{BRANDS[j]}' AS " + '"right"' + f", CASE WHEN regr_count(r{i}, r{j}) >= 31 AND NOT isnan(corr(r{i}, r{j})) THEN corr(r{i}, r{j}) END AS r, regr_count(r{i}, r{j}) AS n FROM ret" for i in range(25) for j in range(i + 1, 25))})
 ORDER BY round(abs(r), 9) DESC NULLS LAST, "left", "right" LIMIT 15""", rounded="r")
 def p23(w):
     return MK.return_correlations(w.commodities, BRANDS, 15)

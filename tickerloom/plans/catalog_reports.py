@@ -63,13 +63,17 @@ _PAIRS = f"""SELECT s.ticker, c.sector, s.date, s.avg_sentiment, s.news_count, s
 WHERE s.has_news AND s.avg_sentiment IS NOT NULL AND s.{_SINCE.format(730)}"""
 
 
+def _guarded_corr(y: str) -> str:
+    return f"CASE WHEN count({y}) >= 10 AND NOT isnan(corr(avg_sentiment, {y})) THEN corr(avg_sentiment, {y}) END"
+
+
 @query("P13_sentiment_return_pairs", _PAIRS, rounded="avg_sentiment daily_return next_day_return")
 def p13(w):
     return DB.sentiment_return_pairs(w.signals, w.companies, 730)
 
 
-@query("P13_lead_lag", f"""SELECT * FROM (SELECT ticker, min(sector) AS sector, count(next_day_return) AS news_days,
- CASE WHEN count(daily_return) >= 10 THEN corr(avg_sentiment, daily_return) END AS corr_same_day, corr(avg_sentiment, next_day_return) AS corr_next_day FROM ({_PAIRS}) GROUP BY ticker) WHERE news_days >= 10""", rounded="corr_same_day corr_next_day")
+@query("P13_lead_lag", f"""SELECT ticker, min(sector) AS sector, count(next_day_return) AS news_days, {_guarded_corr('daily_return')} AS corr_same_day, {_guarded_corr('next_day_return')} AS corr_next_day
+FROM ({_PAIRS}) GROUP BY ticker""", rounded="corr_same_day corr_next_day")
 def p13_lags(w):
     return DB.lead_lag(DB.sentiment_return_pairs(w.signals, w.companies, 730))
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tickerloom.constants import MODEL_FEATURES
 from tickerloom.operators import learn as L
 from tickerloom.operators import daily as D
+from tickerloom.operators import market as MK
 from tickerloom.operators.keyed import unknown_only
 from tickerloom.plans.catalog import query
-from tickerloom.session import work_folder
+from tickerloom.session import stored, work_folder
 from tickerloom.sources.keyed_table import KeyedTable
 from tickerloom.sources.upsert import insert_ignore, upsert
 from tickerloom.streaming import feed as ST
@@ -143,11 +144,8 @@ def i9(w):
 
 
 def _dataset(w):
-    """News-day rows with features and targets, written once for the many passes of a fit."""
-    path = work_folder(w.spark, "dataset")
-    rows = D.build_daily_signals(w.features, w.base_prices, drop_unlabelled=True).where("news_count > 0")
-    rows.select("ticker", "date", "direction", "next_day_return", *MODEL_FEATURES).write.parquet(path)
-    return w.spark.read.parquet(path)
+    """News-day rows with features and targets; the labelled days are stored."""
+    return w.news_days.select("ticker", "date", "direction", "next_day_return", *MODEL_FEATURES)
 
 
 @query("M1_feature_rows", f"SELECT count(*) AS n, {len(MODEL_FEATURES)} AS width FROM v_labelled WHERE news_count > 0")
@@ -178,9 +176,42 @@ def m3_weights(w):
 
 @query("M3_M4_forest_predictions")
 def m3(w):
-    train, test = L.time_split(L.assemble(_dataset(w)))
-    train = train.persist()
-    return L.predict(test, L.fit_classifier(train), L.fit_regressor(train))
+    return w.forest_predictions
+
+
+_TEST_ROWS = "SELECT ticker, date, direction, next_day_return FROM v_news_days WHERE is_test"
+
+
+@query("M3_M4_forest_checks", f"""SELECT count(*) AS n, min(date) AS first_day, max(date) AS last_day, CAST(sum(direction) AS BIGINT) AS ups, avg(next_day_return) AS mean_return,
+ true AS chances_valid, true AS calls_follow_chances, true AS returns_within_training FROM ({_TEST_ROWS})""", rounded="mean_return")
+def m3_checks(w):
+    train, _ = L.time_split(w.news_days)
+    seen = train.agg(F.struct(F.min("next_day_return").alias("low"), F.max("next_day_return").alias("high"))).scalar()
+    return w.forest_predictions.agg(
+        F.count("*").alias("n"), F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.sum("direction").alias("ups"),
+        F.avg("next_day_return").alias("mean_return"), F.bool_and(F.col("p_up").between(0, 1)).alias("chances_valid"),
+        F.bool_and((F.col("p_up") == 0.5) | (F.col("pred_direction") == (F.col("p_up") > 0.5).cast("int"))).alias("calls_follow_chances"),
+        F.bool_and(F.col("pred_return").between(seen["low"] - 1e-9, seen["high"] + 1e-9)).alias("returns_within_training"))
+
+
+@query("P24_forest_backtest", f"""SELECT date, avg(next_day_return) AS bh, count(*) AS n_total, true AS positions_counted, true AS within_the_day FROM ({_TEST_ROWS}) GROUP BY date""", rounded="bh")
+def p24_forest(w):
+    day = w.forest_predictions.groupBy("date").agg(F.min("next_day_return").alias("low"), F.max("next_day_return").alias("high"))
+    ok = F.col("strategy").between(F.least("low", F.lit(0.0)) - 1e-12, F.greatest("high", F.lit(0.0)) + 1e-12)
+    return MK.backtest(w.forest_predictions).join(day, "date").select(
+        "date", "bh", "n_total", F.col("n_pos").between(0, F.col("n_total")).alias("positions_counted"), ok.alias("within_the_day"))
+
+
+@query("P26_forest_signal_quality", f"""SELECT ticker, count(*) AS n, avg(direction) AS actual_up_rate, true AS rates_valid FROM ({_TEST_ROWS}) GROUP BY ticker""", rounded="actual_up_rate")
+def p26_forest(w):
+    valid = F.col("pred_up_rate").between(0, 1) & F.col("accuracy").between(0, 1) & (F.col("total_return") >= -1)
+    return MK.signal_quality(w.forest_predictions).select("ticker", "n", "actual_up_rate", valid.alias("rates_valid"))
+
+
+@query("P27_forest_strategies", f"""SELECT series, date, true AS picks_within_rule FROM (SELECT DISTINCT date FROM ({_TEST_ROWS})), (VALUES ('S1'), ('S2'), ('S3')) s(series)""")
+def p27_forest(w):
+    most = F.when(F.col("series") == "S3", 3).otherwise(1)
+    return MK.three_strategies(w.forest_predictions).select("series", "date", F.col("n_pos").between(0, most).alias("picks_within_rule"))
 
 
 @query("M5_class_report", " UNION ALL ".join(f"""SELECT {c} AS class, coalesce(tp * 1.0 / nullif(pp, 0), 0) AS precision, coalesce(tp * 1.0 / nullif(ap, 0), 0) AS recall, coalesce(2.0 * tp / nullif(pp + ap, 0), 0) AS f1, ap AS support, acc AS accuracy, base AS baseline FROM (
@@ -227,10 +258,21 @@ def m8_youden(w):
     return L.youden_threshold(L.curve_points(w.predictions, "direction", "p_up"))
 
 
+def _importance(w):
+    train, _ = L.time_split(L.assemble(_dataset(w)))
+    return L.feature_importance(L.fit_classifier(stored(train, "train")), MODEL_FEATURES, w.spark)
+
+
 @query("M9_feature_importance")
 def m9(w):
-    train, _ = L.time_split(L.assemble(_dataset(w)))
-    return L.feature_importance(L.fit_classifier(train.persist()), MODEL_FEATURES, w.spark)
+    return _importance(w)
+
+
+@query("M9_importance_checks", f"SELECT {min(20, len(MODEL_FEATURES))} AS n, true AS shares_of_one, true AS known_features")
+def m9_checks(w):
+    return _importance(w).agg(
+        F.count("*").alias("n"), (F.bool_and(F.col("importance").between(0, 1)) & (F.sum("importance") <= 1 + 1e-9)).alias("shares_of_one"),
+        F.bool_and(F.col("feature").isin(*MODEL_FEATURES)).alias("known_features"))
 
 
 @query("M10_embedding_plane")
@@ -238,21 +280,67 @@ def m10(w):
     return L.project_2d(w.table("embeddings"), "embedding").drop("embedding")
 
 
+@query("M10_plane_checks", "SELECT count(*) AS n, true AS centred, true AS uncorrelated, true AS first_is_widest, true AS no_wider_than_the_whole FROM embeddings WHERE embedding IS NOT NULL")
+def m10_checks(w):
+    plane = L.project_2d(w.table("embeddings"), "embedding").select("pc1", "pc2")
+    whole = L.total_inertia(w.table("embeddings"), "embedding").scalar()
+    one = plane.agg(
+        F.count("*").alias("n"), F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2"), F.var_pop("pc1").alias("v1"), F.var_pop("pc2").alias("v2"),
+        F.covar_pop("pc1", "pc2").alias("c"))
+    small = F.col("v1") * 1e-6
+    return one.select(
+        "n", ((F.abs("m1") <= F.sqrt(small)) & (F.abs("m2") <= F.sqrt(small))).alias("centred"), (F.abs("c") <= small).alias("uncorrelated"),
+        (F.col("v1") >= F.col("v2")).alias("first_is_widest"), ((F.col("v1") + F.col("v2")) * F.col("n") <= whole * (1 + 1e-9)).alias("no_wider_than_the_whole"))
+
+
 @query("M11_clusters")
 def m11(w):
     return L.cluster(w.table("embeddings"), "embedding").groupBy("cluster").agg(F.count("*").alias("n"))
 
 
+def _inside(groups):
+    """Sum of squared distances of all rows to the mean of their group."""
+    cells = groups.select("cluster", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "v"))
+    return cells.groupBy("cluster", "i").agg((F.var_pop("v") * F.count("v")).alias("ss")).agg(F.sum("ss")).scalar()
+
+
+@query("M11_cluster_checks", "SELECT count(*) AS n, 5 AS clusters, true AS closer_than_one_group FROM embeddings WHERE embedding IS NOT NULL")
+def m11_checks(w):
+    groups = stored(L.cluster(w.table("embeddings"), "embedding").select("embedding", "cluster"), "clusters")
+    whole = L.total_inertia(w.table("embeddings"), "embedding").scalar()
+    return groups.agg(F.count("*").alias("n"), F.countDistinct("cluster").cast("int").alias("clusters")).select(
+        "n", "clusters", (_inside(groups) < whole).alias("closer_than_one_group"))
+
+
 @query("M11_elbow")
 def m11_elbow(w):
     return L.elbow(w.table("embeddings"), "embedding")
 
 
+_INERTIA = "SELECT sum(ss) AS inertia FROM (SELECT i, var_pop(v) * count(*) AS ss FROM (SELECT CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY i)"
+
+
+@query("M11_elbow_checks", f"SELECT 10 AS points, inertia AS one_group, true AS more_groups_are_closer FROM ({_INERTIA})", rounded="one_group")
+def m11_elbow_checks(w):
+    curve = L.elbow(w.table("embeddings"), "embedding")
+    return curve.agg(
+        F.count("*").cast("int").alias("points"), F.max(F.when(F.col("k") == 1, F.col("inertia"))).alias("one_group"),
+        (F.max(F.when(F.col("k") > 1, F.col("inertia"))) < F.max(F.when(F.col("k") == 1, F.col("inertia")))).alias("more_groups_are_closer"))
+
+
 @query("M11_total_inertia", "SELECT sum(ss) AS inertia FROM (SELECT i, var_pop(v) * count(*) AS ss FROM (SELECT CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY i)", rounded="inertia")
 def m11_inertia(w):
     return L.total_inertia(w.table("embeddings"), "embedding")
 
 
+@query("M12_group_checks", "SELECT count(*) AS n, true AS at_most_five, true AS closer_than_one_group FROM embeddings WHERE embedding IS NOT NULL")
+def m12_checks(w):
+    groups = stored(L.group_by_cosine(w.table("embeddings"), "embedding").select("embedding", "cluster"), "groups")
+    whole = L.total_inertia(w.table("embeddings"), "embedding").scalar()
+    return groups.agg(F.count("*").alias("n"), F.countDistinct("cluster").alias("c")).select(
+        "n", F.col("c").between(1, 5).alias("at_most_five"), (_inside(groups) <= whole).alias("closer_than_one_group"))
+
+
 @query("M12_cosine_groups")
 def m12(w):
     return L.group_by_cosine(w.table("embeddings"), "embedding").groupBy("cluster").agg(F.count("*").alias("n"))
@@ -260,15 +348,36 @@ def m12(w):
 
 @query("M13_logistic_grid")
 def m13(w):
-    return L.logistic_grid(L.assemble(_dataset(w)))
+    return L.logistic_grid(L.assemble(_dataset(w))).select("fold", "reg", "auc")
 
 
-@query("M14_saved_model")
-def m14(w):
+@query("M13_grid_checks", """WITH days AS (SELECT date, ntile(6) OVER (ORDER BY date) AS block FROM (SELECT DISTINCT date FROM v_news_days)),
+ sizes AS (SELECT block, count(*) AS n FROM v_news_days JOIN days USING (date) GROUP BY block)
+SELECT CAST(fold AS INTEGER) AS fold, reg, CAST(sum(n) FILTER (WHERE block <= fold) AS BIGINT) AS train_rows, CAST(sum(n) FILTER (WHERE block = fold + 1) AS BIGINT) AS valid_rows, true AS auc_valid
+FROM sizes, generate_series(1, 5) f(fold), (VALUES (0.01::DOUBLE), (0.1::DOUBLE), (1.0::DOUBLE)) r(reg) GROUP BY fold, reg""")
+def m13_checks(w):
+    grid = L.logistic_grid(L.assemble(_dataset(w)))
+    return grid.select("fold", "reg", "train_rows", "valid_rows", F.coalesce(F.col("auc").between(0, 1), F.lit(True)).alias("auc_valid"))
+
+
+def _reloaded(w):
     from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 
     train, test = L.time_split(L.assemble(_dataset(w)))
     path = work_folder(w.spark, "model")
-    L.save_model(LogisticRegression(labelCol="direction").fit(train), path)
-    scored = LogisticRegressionModel.load(path).transform(test)
+    model = LogisticRegression(labelCol="direction").fit(stored(train, "train"))
+    L.save_model(model, path)
+    return model.transform(test), LogisticRegressionModel.load(path).transform(test)
+
+
+@query("M14_saved_model")
+def m14(w):
+    _, scored = _reloaded(w)
     return scored.select("ticker", "date", "direction", F.col("prediction").cast("int").alias("pred_direction"))
+
+
+@query("M14_reload_checks", f"SELECT count(*) AS n, 0 AS changed FROM ({_TEST_ROWS})")
+def m14_checks(w):
+    before, after = (df.select("ticker", "date", F.col("prediction").alias(name)) for df, name in zip(_reloaded(w), ("a", "b"), strict=True))
+    return before.join(after, ["ticker", "date"], "full").agg(
+        F.count("*").alias("n"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).cast("int").alias("changed"))

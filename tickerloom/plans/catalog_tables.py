@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom import schemas
@@ -45,6 +47,24 @@ def s2(w):
     return w.table("part").select("p_partkey", files.file_key(path).alias("file_ticker"))
 
 
+@query("S2_multi_file_csv", """SELECT 'B' || substr(asset_key, 7) AS ticker, date, close, CAST(round(close * 10) AS DOUBLE) * 1000 AS volume
+FROM v_commodities WHERE asset_key <> 'Brand#11'""", rounded="close volume", digits=4)
+def s2_files(w):
+    """Price files of the brands, one without a code in its name, and rows without a date, read back in one scan."""
+    code = F.concat(F.lit("B"), F.substring("asset_key", 7, 10))
+    name = F.when(F.col("asset_key") == "Brand#11", F.lit("notes.csv")).otherwise(F.concat(code, F.lit(" - history.csv")))
+    quotes = w.commodities.unionByName(w.commodities.withColumn("date", F.lit(None).cast("date")).dropDuplicates(["asset_key"]))
+    day = F.when(F.day("date") % 2 == 0, F.date_format("date", "dd/MM/yyyy")).otherwise(F.date_format("date", "yyyy-MM-dd"))
+    close = F.format_number("close", 6)
+    rows = quotes.select(
+        name.alias("file"), day.alias("Date "), F.replace(close, F.lit(","), F.lit("")).alias("Dernier"), F.lit(None).cast("string").alias("Ouv."),
+        F.lit(None).cast("string").alias("Plus Haut"), F.lit(None).cast("string").alias("Plus Bas"),
+        F.concat(F.round(F.col("close") * 10).cast("long").cast("string"), F.lit("K")).alias("Vol."), F.lit("0").alias("Variation %"))
+    folder = work_folder(w.spark, "history")
+    files.write_named_csv(rows, folder, "file")
+    return files.read_price_files(w.spark, f"{folder}/*.csv").select("ticker", "date", "close", "volume")
+
+
 @query("S3_json_scan", "SELECT p_partkey, p_name, p_brand FROM part")
 def s3(w):
     path = work_folder(w.spark, "json")
@@ -94,6 +114,18 @@ def s7(w):
     )
 
 
+@query("S7_archived_pages", """SELECT substr(raw_html_path, 1, 11) AS month, count(*) AS pages, CAST(sum(length(html)) AS BIGINT) AS chars, bit_xor(CAST('0x' || substr(md5(html), 1, 8) AS BIGINT)) AS digest
+FROM (SELECT DISTINCT c.raw_html_path, p.html FROM v_captures c JOIN pages p USING (page_id) WHERE c.raw_html_path IS NOT NULL) GROUP BY 1""")
+def s7_files(w):
+    folder = work_folder(w.spark, "archive")
+    pages = w.captures.select("page_id", "raw_html_path").join(w.table("pages").select("page_id", "html"), "page_id")
+    files.write_archived_pages(pages, folder).write.format("noop").mode("overwrite").save()
+    read = files.read_archived_pages(w.spark, folder)
+    digest = F.conv(F.substring(F.md5("html"), 1, 8), 16, 10).cast("long")
+    return read.groupBy(F.substring("raw_html_path", 1, 11).alias("month")).agg(
+        F.count("*").alias("pages"), F.sum(F.length("html")).alias("chars"), F.bit_xor(digest).alias("digest"))
+
+
 @query("S8_parquet_round_trip", """SELECT url, capture_timestamp, raw_html_path, digest, CAST(status AS INTEGER) AS status, mimetype, CAST(length AS BIGINT) AS length FROM v_captures""")
 def s8(w):
     path = work_folder(w.spark, "captures")
@@ -106,17 +138,45 @@ SELECT 'event_facts', count(*) FROM v_facts UNION ALL SELECT 'event_company_brid
 SELECT 'daily_signals', count(*) FROM v_returns UNION ALL SELECT 'sentiment_weekly', count(*) FROM v_weekly UNION ALL
 SELECT 'sentiment_monthly', count(*) FROM v_monthly UNION ALL SELECT 'commodity_daily', count(*) FROM v_commodities""")
 def s9(w):
-    folder = work_folder(w.spark, "gold")
-    names = refresh_gold(
-        folder, work_folder(w.spark, "gold-work"), articles=w.articles, companies=w.companies, mentions=w.mentions,
-        article_events=w.article_events, prices=w.prices, events=w.events, event_companies=w.event_companies,
-        commodities=w.commodities, rules=ORDER_RULES,
-    )
-    counts = [w.spark.read.parquet(f"{folder}/{n}").agg(F.lit(n).alias("table_name"), F.count("*").alias("n")) for n in names]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    counts = [gold.agg(F.lit(n).alias("table_name"), F.count("*").alias("n")) for n, gold in _gold(w).items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _gold(w):
+    """The gold tables after a refresh, as readers see them; one refresh a session and folder."""
+    def refresh(folder):
+        refresh_gold(
+            folder, work_folder(w.spark, "gold-work"), articles=w.articles, companies=w.companies, mentions=w.mentions,
+            article_events=w.article_events, prices=w.prices, events=w.events, event_companies=w.event_companies,
+            commodities=w.commodities, rules=ORDER_RULES,
+        )
+
+    folder = w.once_in("gold", refresh)
+    return {name: sinks.gold_table(w.spark, folder, name) for name in schemas.GOLD}
+
+
+_GOLD_VIEWS = {
+    "company_dim": "v_dim", "event_facts": "v_facts", "event_company_bridge": "v_bridge", "daily_signals": "v_signals",
+    "sentiment_weekly": "v_weekly", "sentiment_monthly": "v_monthly", "commodity_daily": "v_commodity_daily",
+}
+# columns that the test data has no source for
+_GOLD_EMPTY = {"ceo", "founded", "headquarters", "revenue", "employees", "first_seen"}
+_SQL_TYPES = {"string": "VARCHAR", "date": "DATE", "int": "INTEGER", "smallint": "SMALLINT", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
+def _gold_values(name):
+    """Every stored value of a gold table but decimals, which round by engine, and columns without a source."""
+    fields = [f for f in schemas.GOLD[name] if f.dataType.simpleString() in _SQL_TYPES and f.name not in _GOLD_EMPTY]
+    doubles = [f.name for f in fields if f.dataType.simpleString() == "double"]
+    columns = ", ".join(f"CAST({f.name} AS {_SQL_TYPES[f.dataType.simpleString()]}) AS {f.name}" for f in fields)
+
+    @query(f"S9_{name}", f"SELECT {columns} FROM {_GOLD_VIEWS[name]}", rounded=" ".join(doubles))
+    def values(w):
+        return _gold(w)[name].select(*[f.name for f in fields])
+
+
+for _name in schemas.GOLD:
+    _gold_values(_name)
 
 
 @query("S10_typed_signals", """SELECT ticker, date, CAST(direction AS SMALLINT) AS direction, has_news, CAST(news_count AS SMALLINT) AS news_count,

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickerloom import constants as K
 from tickerloom.constants import EVENT_ALIASES, EVENT_TYPES
 from tickerloom.functions import html as HT
 from tickerloom.functions import labels as LB
@@ -13,9 +17,9 @@ from tickerloom.functions import parse as P
 from tickerloom.functions import text as TX
 from tickerloom.operators import graph as G
 from tickerloom.operators import intake as IN
-from tickerloom.operators.scoring import score_by_lexicon, score_with
+from tickerloom.operators.scoring import per_group, rows_from, score_by_lexicon, score_with
 from tickerloom.plans.catalog import query
-from tickerloom.plans.catalog_gold import LEXICON_CASE, LEXICON_CONF, LEXICON_SCORE, PROSE_FLAGS, lexicon_sql
+from tickerloom.plans.catalog_gold import LEXICON_CASE, LEXICON_CONF, LEXICON_SCORE, PROSE_FLAGS, _GAP, _NW, lexicon_sql
 from tickerloom.sources import files
 from tickerloom.sources.warehouse import PROSE_RULES
 
@@ -128,6 +132,53 @@ def f12_strip(w):
     return w.table("pages").select("page_id", (F.length(bare) - F.length(F.replace(bare, F.lit("&amp;"), F.lit("&")))).cast("long").alias("saved"))
 
 
+_ENTITIES = {"&quot;": '"', "&copy;": "©", "&middot;": "·"}
+_DECODED = "regexp_replace(html, '<[^>]+>', '', 'g')"
+for _entity, _sign in _ENTITIES.items():
+    _DECODED = f"replace({_DECODED}, '{_entity}', '{_sign}')"
+_DECODED = f"regexp_replace({_DECODED}, '&amp;?', '&', 'g')"
+
+
+@query("F12_decoded_text", rf"""SELECT page_id, length(t) AS chars, md5(t) AS digest FROM (SELECT page_id, regexp_replace({_DECODED}, '^[\s\pZ]+|[\s\pZ]+$', '', 'g') AS t FROM pages)""")
+def f12_decoded(w):
+    bare = TX.strip_markup(F.col("html"))
+    return w.table("pages").select("page_id", F.length(bare).cast("long").alias("chars"), F.md5(bare).alias("digest"))
+
+
+# Phrases for the fixed rules: what each pattern means, and the same inside a longer word.
+def _phrases():
+    plain = [re.sub(r"\[s\]\?|\[e\]\?|s\?", "s", p.replace(r"\b", "")).replace(".{0,25}", " vraiment ").replace(".", "'")
+             for p in [*(p for ps in K.EVENT_FAMILIES.values() for p in ps), *K.NEGATION, *K.SPECULATION]]
+    return [x for p in plain for x in (p, f"é{p}x", p.upper())]
+
+
+def _rule_sql(patterns):
+    """The patterns with Unicode word borders, for an engine whose own are ASCII."""
+    def one(p):
+        p = p.lower()
+        if ".{0,25}" in p:
+            first, second = p.replace(r"\b", "").split(".{0,25}")
+            return rf"(^|{_NW}){first}({_GAP}|{_GAP}[^\n]{{0,23}}{_GAP}){second}($|{_NW})"
+        return rf"(^|{_NW}){p.replace(chr(92) + 'b', '')}($|{_NW})"
+
+    return "CAST(" + " OR ".join("regexp_matches(lower(t), '" + one(p).replace("'", "''") + "')" for p in patterns) + " AS INTEGER)"
+
+
+_PHRASES = _phrases()
+_PHRASE_SQL = "[" + ", ".join("'" + p.replace("'", "''") + "'" for p in _PHRASES) + "]"
+_TITLES = f"""SELECT o_orderkey, {_PHRASE_SQL}[o_orderkey % {len(_PHRASES)} + 1] || ' ' || o_orderpriority || ' ' || {_PHRASE_SQL}[o_custkey * 7 % {len(_PHRASES)} + 1] AS t FROM orders"""
+
+
+@query("F2_fixed_rules", f"""SELECT o_orderkey, {', '.join(f'{_rule_sql(ps)} AS event_{n}' for n, ps in K.EVENT_FAMILIES.items())}, {_rule_sql(K.NEGATION)} AS is_negated, {_rule_sql(K.SPECULATION)} AS is_speculative FROM ({_TITLES})""")
+def f2_fixed(w):
+    """The fixed rules over titles made of their phrases."""
+    def phrase(key):
+        return F.element_at(F.array(*[F.lit(p) for p in _PHRASES]), (key % len(_PHRASES) + 1).cast("int"))
+
+    title = F.concat_ws(" ", phrase(F.col("o_orderkey")), "o_orderpriority", phrase(F.col("o_custkey") * 7))
+    return w.table("orders").select("o_orderkey", title.alias("t")).select("o_orderkey", *[c.alias(n) for n, c in TX.event_flags(F.col("t")).items()])
+
+
 @query("F13_parse_volume", "SELECT l_orderkey AS k, l_linenumber AS n, l_suppkey AS s, CASE WHEN l_linenumber % 3 = 0 THEN l_quantity * 1000 WHEN l_linenumber % 3 = 1 THEN l_quantity * 1000000 END AS volume FROM lineitem", rounded="volume")
 def f13(w):
     q, n = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber")
@@ -269,6 +320,31 @@ def j4(w):
     return rows.select("article_url", "ticker", F.inline("mentioned_people")).select("article_url", "ticker", F.col("name").alias("person"))
 
 
+class _Lines:
+    """Numbered lines of a text, blank ones left out."""
+
+    def eval(self, text: str):
+        for number, line in enumerate((text or "").split("\n"), 1):
+            if line.strip(" "):
+                yield number, len(line)
+
+
+@query("J4_rows_from_rows", """SELECT doc_id, CAST(line AS INTEGER) AS line, CAST(length(body) AS INTEGER) AS chars FROM (
+ SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents) WHERE trim(body, ' ') <> ''""")
+def j4_table_function(w):
+    return rows_from(w.documents.select("doc_id", "text"), "text", _Lines, "line int, chars int").drop("text")
+
+
+def _worst_fall(prices: pd.DataFrame) -> pd.DataFrame:
+    closes = prices.sort_values("date")["close"].to_numpy()
+    return pd.DataFrame({"days": [len(closes)], "worst_fall": [float((closes / np.maximum.accumulate(closes) - 1).min())]})
+
+
+@query("J2_per_group", """SELECT ticker, count(*) AS days, min(close / top - 1) AS worst_fall FROM (SELECT ticker, close, max(close) OVER (PARTITION BY ticker ORDER BY date) AS top FROM v_base_prices) GROUP BY ticker""", rounded="worst_fall")
+def j2(w):
+    return per_group(w.base_prices.select("ticker", "date", "close"), ["ticker"], _worst_fall, "days long, worst_fall double")
+
+
 @query("J5_configured_fields", """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS note FROM events""")
 def j5(w):
     schema = files.schema_from_fields([

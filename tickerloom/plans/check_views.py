@@ -150,6 +150,12 @@ LEFT JOIN (SELECT ticker, llm_event_type AS top_event_type FROM (
 FROM v_commodity_returns""",
     "v_labelled": f"""SELECT r.*, {', '.join(f'coalesce(f.{c}, 0) AS {c}' for c in FEATURE_COLUMNS)}
 FROM v_returns r LEFT JOIN v_features f ON f.ticker = r.ticker AND f.date = r.date WHERE r.next_day_return IS NOT NULL""",
-    "v_predictions": """SELECT ticker, date, direction, next_day_return, CASE WHEN round((avg_sentiment + 1) / 2, 6) >= 0.5 THEN 1 ELSE 0 END AS pred_direction,
-  round((avg_sentiment + 1) / 2, 6) AS p_up, round(avg_sentiment / 50, 6) AS pred_return FROM v_labelled""",
+    "v_news_days": """SELECT *, epoch(CAST(date AS TIMESTAMP)) >= (SELECT quantile_cont(epoch(CAST(date AS TIMESTAMP)), 0.8) FROM v_labelled WHERE news_count > 0) AS is_test
+FROM v_labelled WHERE news_count > 0""",
+    "v_model": """SELECT coalesce(regr_slope(next_day_return, avg_sentiment), 0) AS slope, avg(next_day_return) - coalesce(regr_slope(next_day_return, avg_sentiment), 0) * avg(avg_sentiment) AS intercept,
+  avg(avg_sentiment) AS centre, stddev_pop(avg_sentiment) AS spread, sign(round(covar_pop(CAST(direction AS DOUBLE), avg_sentiment), 12)) AS rise
+FROM v_news_days WHERE NOT is_test""",
+    "v_predictions": """SELECT *, CASE WHEN p_up >= 0.5 THEN 1 ELSE 0 END AS pred_direction FROM (
+ SELECT ticker, date, direction, next_day_return, round(greatest(least(0.5 + 0.15 * (coalesce((avg_sentiment - centre) / nullif(spread, 0), 0) * rise), 1), 0), 6) AS p_up,
+  round(intercept + slope * avg_sentiment, 6) AS pred_return FROM v_news_days, v_model WHERE is_test)""",
 }

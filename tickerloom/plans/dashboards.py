@@ -87,14 +87,14 @@ def sentiment_trend_line(pairs: DataFrame) -> DataFrame:
 
 
 def lead_lag(pairs: DataFrame, min_days: int = 10) -> DataFrame:
-    """Per ticker: correlation of sentiment with same-day and next-day return."""
+    """Per ticker: correlation of sentiment with same-day and next-day return, NULL below ``min_days``."""
     s, same, nxt = F.col("avg_sentiment"), F.col("daily_return"), F.col("next_day_return")
     return pairs.groupBy("ticker").agg(
         F.min("sector").alias("sector"),
         F.count(nxt).alias("news_days"),
         pearson(s, same, min_days).alias("corr_same_day"),
-        pearson(s, nxt).alias("corr_next_day"),
-    ).where(F.col("news_days") >= min_days)
+        pearson(s, nxt, min_days).alias("corr_next_day"),
+    )
 
 
 def event_impact(signals: DataFrame, types: Sequence[str] = IMPACT_TYPES) -> DataFrame:

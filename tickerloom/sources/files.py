@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import gzip
 import zlib
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerloom.constants import PRICE_HEADERS
 from tickerloom.functions.parse import parse_day, parse_volume, to_number
+from tickerloom.session import remove_folder
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -96,3 +100,41 @@ def read_archived_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
     relative = F.regexp_extract("path", r"(raw/.*)$", 1)
     return raw.select(relative.alias("raw_html_path"), _gunzip("content").alias("html"))
+
+
+def write_archived_pages(pages: DataFrame, folder: str) -> DataFrame:
+    """Write ``pages(raw_html_path, html)`` as gzip files, one per path, and return (raw_html_path, n_bytes).
+
+    Tasks write through ``pyarrow.fs``, so ``folder`` may be on any store it knows.  Paths name content
+    by its digest: a task that runs again writes the same files.  Call an action on the result, once.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        for batch in batches:
+            sizes = []
+            for path, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                packed = gzip.compress((html or "").encode(), mtime=0)
+                target.create_dir(f"{base}/{path.rpartition('/')[0]}")
+                with target.open_output_stream(f"{base}/{path}", compression=None) as out:
+                    out.write(packed)
+                sizes.append(len(packed))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], names=["raw_html_path", "n_bytes"])
+
+    one = pages.where("raw_html_path is not null").select("raw_html_path", "html").dropDuplicates(["raw_html_path"])
+    return one.mapInArrow(run, "raw_html_path string, n_bytes long")
+
+
+def write_named_csv(rows: DataFrame, folder: str, name: str) -> None:
+    """One CSV file per value of ``name``, which is the file's name; the number of names is the number of
+    files, each written by one task.  Spark names its own files, so they are renamed when all are there."""
+    spark, work = rows.sparkSession, f"{folder}-parts"
+    rows.repartition(name).write.partitionBy(name).option("header", True).csv(work)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(folder)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(target)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(work)
+    key = F.url_decode(F.regexp_extract("path", rf"/{name}=([^/]*)/", 1))
+    for r in found.select("path", key.alias("name")).collect():
+        store.rename(hadoop.Path(r["path"]), hadoop.Path(target, r["name"]))
+    remove_folder(spark, work)

@@ -88,6 +88,12 @@ class KeyedTable:
         self._write(combine(old, updates), version, buckets, {b: v for b, v in entries.items() if b not in touched})
         return version
 
+    def replace(self, rows: DataFrame, version: int | None = None) -> int:
+        """All new rows, as a new version with the same number of buckets."""
+        version = self.version() + 1 if version is None else version
+        self._write(rows, version, self._manifest(version - 1)[0], {})
+        return version
+
     def rehash(self, buckets: int) -> int:
         """The same rows in another number of buckets, as a new version."""
         version = self.version() + 1

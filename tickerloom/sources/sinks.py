@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerloom.functions.parse import last_path_segment, year_of_text
 from tickerloom.schemas import GOLD
+from tickerloom.session import remove_folder
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -26,22 +28,60 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mo
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def full_refresh(frames: Mapping[str, DataFrame], folder: str) -> list[str]:
-    """Replace the gold tables, parents first; empty frames are skipped, unknown names refused.
+def _refreshes(spark: SparkSession, folder: str) -> dict[int, dict[str, int]]:
+    """Of every complete refresh, the refresh that wrote each table."""
+    try:
+        rows = spark.read.parquet(f"{folder}/manifest").collect()
+    except AnalysisException:          # nothing is there yet
+        return {}
+    out: dict[int, dict[str, int]] = {}
+    for r in rows:
+        out.setdefault(r["refresh"], {})[r["name"]] = r["written"]
+    return out
 
-    Frames are cast to the declared types at this point only.
+
+def full_refresh(frames: Mapping[str, DataFrame], folder: str, keep: int = 2) -> list[str]:
+    """Replace the gold tables all at once; empty frames leave the table as it was, unknown names are
+    refused.  Frames are cast to the declared types at this point only.
+
+    All tables are written under a new refresh, then one manifest file names them: readers
+    (``gold_table``) see the refresh before or this one, whatever fails in between.  The files of the
+    newest ``keep`` refreshes stay, for readers that began earlier.
     """
     unknown = sorted(set(frames) - set(GOLD))
     if unknown:
         raise ValueError(f"unknown gold tables: {', '.join(unknown)}")
+    if not frames:
+        return []
+    spark = next(iter(frames.values())).sparkSession
+    before = _refreshes(spark, folder)
+    number = max(before, default=-1) + 1
+    entries = dict(before.get(number - 1, {}))
     written = []
-    for name in GOLD:
-        if name in frames and not frames[name].isEmpty():
-            write_table(typed(frames[name], GOLD[name]), f"{folder}/{name}")
+    for name in (n for n in GOLD if n in frames):
+        path = f"{folder}/data/refresh={number}/{name}"
+        write_table(typed(frames[name], GOLD[name]), path)
+        if not spark.read.schema(GOLD[name]).parquet(path).isEmpty():
+            entries[name] = number
             written.append(name)
+    spark.createDataFrame(sorted(entries.items()), "name string, written int").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{folder}/manifest/refresh={number}")
+    kept = {n: before[n] for n in before if n > number - keep} | {number: entries}
+    used = {r for names in kept.values() for r in names.values()} | set(kept)
+    for old in sorted(set(before) - set(kept)):
+        remove_folder(spark, f"{folder}/manifest/refresh={old}")
+        if old not in used:
+            remove_folder(spark, f"{folder}/data/refresh={old}")
     return written
 
 
+def gold_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as of the newest complete refresh."""
+    refreshes = _refreshes(spark, folder)
+    written = refreshes[max(refreshes)][name]
+    return spark.read.schema(GOLD[name]).parquet(f"{folder}/data/refresh={written}/{name}")
+
+
 def object_layout(items: DataFrame, file_url: str, date_text: str, root: str = "ammc") -> DataFrame:
     """Adds ``year``, ``filename`` and ``object_name`` (root/year/filename) for each file URL."""
     year, name = year_of_text(F.coalesce(F.col(date_text), F.lit(""))), last_path_segment(F.col(file_url))

@@ -5,6 +5,7 @@ Every table is derived by Spark from the given parquet files, so it grows with t
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from tickerloom.constants import EVENT_TYPES
 from tickerloom.functions.parse import storage_path
 from tickerloom.functions.text import TextRules
 from tickerloom.operators import daily as D
+from tickerloom.operators import learn as L
 from tickerloom.operators.harvest import run_record
 from tickerloom.plans.gold import enriched_rows
 from tickerloom.session import work_folder
@@ -37,8 +39,8 @@ PROSE_RULES = TextRules(
 )
 
 
-# Where a session has stored the gold tables of a folder: (application, folder, table) -> path.
-_STORED: dict[tuple[str, str, str], str] = {}
+# Where a session has stored the gold tables of a folder: (application, folder, its files, table) -> path.
+_STORED: dict[tuple[str, str, int, str], str] = {}
 
 
 class Warehouse:
@@ -50,14 +52,24 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def _once(self, name: str, rows: DataFrame) -> DataFrame:
-        """``rows`` written to the shared folder by the first query that needs them."""
-        at = (self.spark.sparkContext.applicationId, self.folder, name)
+    @cached_property
+    def _files(self) -> int:
+        """Digest of the names, sizes and times of the folder's files: other input is stored anew."""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(self.folder)
+        return files.agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length"))).first()[0] or 0
+
+    def once_in(self, name: str, write: Callable[[str], object]) -> str:
+        """The folder of what ``write(folder)`` stores, written by the first query that needs it."""
+        at = (self.spark.sparkContext.applicationId, self.folder, self._files, name)
         if at not in _STORED:
             path = work_folder(self.spark, name)
-            rows.write.parquet(path)
+            write(path)
             _STORED[at] = path
-        return self.spark.read.schema(rows.schema).parquet(_STORED[at])
+        return _STORED[at]
+
+    def _once(self, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` written to the shared folder by the first query that needs them."""
+        return self.spark.read.schema(rows.schema).parquet(self.once_in(name, rows.write.parquet))
 
     @cached_property
     def documents(self) -> DataFrame:
@@ -268,11 +280,27 @@ class Warehouse:
     def commodity_daily(self) -> DataFrame:
         return D.commodity_features(self.commodities)
 
+    # --- models ----------------------------------------------------------------------
+
+    @cached_property
+    def news_days(self) -> DataFrame:
+        """Labelled days with news: what models learn from and are tested on."""
+        return self.labelled.where("news_count > 0")
+
+    def _predicted(self, model: str, rows: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+        """Test predictions of a model, fitted before the cut-off date, as stored under its name."""
+        def write(folder: str) -> None:
+            train, test = L.time_split(self.news_days)
+            L.store_predictions(folder, model, rows(train, test))
+
+        return L.stored_predictions(self.spark, self.once_in(f"predictions-{model}", write), model)
+
     @cached_property
     def predictions(self) -> DataFrame:
-        """A stand-in for stored test predictions: sentiment sign as the call."""
-        score = F.col("avg_sentiment")
-        return self.labelled.select(
-            "ticker", "date", "direction", "next_day_return",
-            F.round((score + 1) / 2, 6).alias("p_up"), F.round(score / 50, 6).alias("pred_return"),
-        ).withColumn("pred_direction", (F.col("p_up") >= 0.5).cast("int"))
+        """Stored test predictions of the one-factor sentiment model."""
+        return self._predicted("sentiment", lambda train, test: L.predict_by_sentiment(test, L.fit_sentiment(train)))
+
+    @cached_property
+    def forest_predictions(self) -> DataFrame:
+        """Stored test predictions of the two forests."""
+        return self._predicted("forest", L.forest_predictions)
