@@ -115,30 +115,36 @@ def _sizes(docs: DataFrame, words: int) -> DataFrame:
     return stored(_texts(docs).mapInArrow(trimmed(run), SIZES), "sizes")
 
 
-def _order(sizes: DataFrame) -> np.ndarray:
-    """Summed counters on a scale of doublings, a byte each: ``2**COUNTER_BITS`` bytes at any size."""
+def _order(sizes: DataFrame) -> dict[int, bytes]:
+    """Summed counters on a scale of doublings, a byte each: ``2**COUNTER_BITS`` bytes at any size, in
+    compressed parts, which is how they pass through the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 more = np.frombuffer(zstandard.ZstdDecompressor().decompress(counts), np.uint8).astype(np.int32)
                 sums[part] = sums[part] + more if part in sums else more
-        level = {p: np.minimum(8 * np.log2(1 + s), 255).astype(np.uint8).tobytes() for p, s in sums.items()}
+        packer = zstandard.ZstdCompressor(level=3)
+        level = {p: packer.compress(np.minimum(8 * np.log2(1 + s), 255).astype(np.uint8).tobytes()) for p, s in sums.items()}
         yield pa.RecordBatch.from_arrays([pa.array(list(level), pa.int32()), pa.array(list(level.values()), pa.binary())], names=["part", "counts"])
 
-    rows = sizes.where("part is not null").select("part", "counts").repartition("part").mapInArrow(trimmed(run), "part int, counts binary").collect()
+    rows = sizes.where("part is not null").select("part", "counts").repartition("part").mapInArrow(trimmed(run), "part int, counts binary")
+    return {r.part: bytes(r.counts) for r in rows.toLocalIterator()}
+
+
+def _levels(parts: dict[int, bytes]) -> np.ndarray:
     out = np.zeros((COUNTER_PARTS, (1 << COUNTER_BITS) // COUNTER_PARTS), np.uint8)
-    for r in rows:
-        out[r.part] = np.frombuffer(r.counts, np.uint8)
+    for part, packed in parts.items():
+        out[part] = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
     return out.reshape(-1)
 
 
-def _postings(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> DataFrame:
+def _postings(docs: DataFrame, order: dict[int, bytes], words: int, percent: int) -> DataFrame:
     """Prefix shingles of every set with their place in the order; equal sets of a task once."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, seen = shared.value, np.empty(0, np.int64)
+        level, seen = _levels(shared.value), np.empty(0, np.int64)
         for batch in batches:
             for row, values, offsets in _sets(batch.column(1), words):
                 nodes, size = _nodes(values, offsets), np.diff(offsets)
