@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.functions.text import normalized_name, strip_index_prefix
+from tickerloom.operators.paging import PAGE_ITEMS, paged_list
 from tickerloom.sources.upsert import upsert
 
 
@@ -70,17 +71,18 @@ def one_hop(edge: DataFrame, left: str, nodes: DataFrame, node_key: str, columns
 
 def neighbour_summary(
     nodes: DataFrame, key: str, counted: DataFrame, counted_node: str, collected: DataFrame, collected_node: str,
-    count_name: str, list_name: str,
+    count_name: str, list_name: str, page_items: int = PAGE_ITEMS,
 ) -> DataFrame:
-    """Distinct neighbours of one kind counted, of another kind listed.
+    """Distinct neighbours of one kind counted, of another kind listed in pages of ``page_items``.
 
-    The two edge tables are aggregated before they meet, so their product never exists.
+    A row per node and page, one at least.  The two edge tables are aggregated before they meet, so
+    their product never exists.
     """
     counts = counted.groupBy(key).agg(F.countDistinct(counted_node).alias(count_name))
-    lists = collected.groupBy(key).agg(F.array_sort(F.collect_set(collected_node)).alias(list_name))
+    lists = paged_list(collected, key, collected_node, page_items).select(key, "page", F.col("items").alias(list_name))
     return (
         nodes.join(counts, key, "left").join(lists, key, "left")
-        .fillna(0, [count_name])
+        .fillna(0, [count_name, "page"])
         .withColumn(list_name, F.coalesce(list_name, F.array().cast("array<string>")))
     )
 

@@ -13,10 +13,11 @@ from tickerloom.operators import graph as G
 from tickerloom.operators import keyed as KY
 from tickerloom.operators import market as MK
 from tickerloom.operators import quantiles as Q
+from tickerloom.operators.paging import paged_list
 from tickerloom.operators import stats as ST
 from tickerloom.plans.catalog import query
 from tickerloom.plans.check_views import FEATURE_COLUMNS, ROLLED
-from tickerloom.plans.catalog_tables import BRANDS
+from tickerloom.plans.catalog_tables import BRANDS, PAGE, paged_sql
 from tickerloom.sources.warehouse import PROSE_RULES
 
 DAILY_DOUBLES = "avg_sentiment std_sentiment positive_ratio negative_ratio"
@@ -218,11 +219,10 @@ def d12(w):
     )
 
 
-@query("D13_distinct_list", "SELECT event_fingerprint AS fingerprint, string_agg(DISTINCT ticker, ', ' ORDER BY ticker) AS tickers FROM v_event_companies GROUP BY 1")
+@query("D13_distinct_list", paged_sql("v_event_companies", "event_fingerprint", "ticker"))
 def d13(w):
-    return w.event_companies.groupBy(F.col("event_fingerprint").alias("fingerprint")).agg(
-        F.array_join(F.array_sort(F.collect_set("ticker")), ", ").alias("tickers")
-    )
+    pages = paged_list(w.event_companies, "event_fingerprint", "ticker", PAGE)
+    return pages.select("event_fingerprint", "page", F.array_join("items", ",").alias("items"))
 
 
 @query("D14_by_period", "SELECT CAST(date_trunc('week', event_date) AS DATE) AS period, count(*) AS n FROM v_article_events GROUP BY 1")

@@ -19,6 +19,8 @@ from tickerloom.operators import market as MK
 from tickerloom.operators import quantiles as Q
 from tickerloom.operators.harvest import capture_index, url_filter
 from tickerloom.operators.intake import valid_analyses
+from tickerloom.operators.paging import paged_list
+from tickerloom.plans import dashboards as DB
 from tickerloom.plans.catalog import query
 from tickerloom.plans.gold import refresh_gold
 from tickerloom.session import work_folder
@@ -300,6 +302,14 @@ def s17(w):
     return both.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
+@query("N1_measured_write", """SELECT unnest(['read', 'kept', 'rejected_discount', 'rejected_quantity']) AS metric_name, unnest([count(*), count(*) FILTER (WHERE d AND q), count(*) FILTER (WHERE NOT d), count(*) FILTER (WHERE d AND NOT q)])::DOUBLE AS metric_value
+FROM (SELECT coalesce(l_discount BETWEEN 0 AND 0.05, false) AS d, coalesce(l_quantity >= 10, false) AS q FROM lineitem)""")
+def n1_measured(w):
+    rules = {"discount": F.col("l_discount").between(0, 0.05), "quantity": F.col("l_quantity") >= 10}
+    events = sinks.write_measured(w.table("lineitem"), rules, work_folder(w.spark, "measured"), "r1")
+    return events.select("metric_name", "metric_value")
+
+
 @query("S18_known_keys_only", """SELECT ticker, count(*) AS n FROM v_base_prices WHERE ticker IN (SELECT ticker FROM v_companies WHERE parent = 'ASIA') GROUP BY ticker""")
 def s18(w):
     asia = w.companies.where("parent = 'ASIA'")
@@ -528,21 +538,26 @@ def c13(w):
     return wide
 
 
-@query("C14_optional_collect", """SELECT e.fingerprint, e.event_type, coalesce(t.tickers, '') AS tickers FROM v_events e LEFT JOIN (
- SELECT event_fingerprint, string_agg(ticker, ',' ORDER BY ticker) AS tickers FROM v_event_companies GROUP BY 1) t ON t.event_fingerprint = e.fingerprint""")
+PAGE = 40   # tickers to a page of the queries
+
+
+def paged_sql(rows: str, key: str, item: str) -> str:
+    """Pages of the distinct items of a key, as comma-separated text."""
+    return f"""SELECT {key}, CAST(page AS INTEGER) AS page, string_agg({item}, ',' ORDER BY {item}) AS items
+ FROM (SELECT {key}, {item}, (row_number() OVER (PARTITION BY {key} ORDER BY {item}) - 1) // {PAGE} AS page FROM (SELECT DISTINCT {key}, {item} FROM {rows} WHERE {item} IS NOT NULL)) GROUP BY {key}, page"""
+
+
+@query("C14_optional_collect", f"""SELECT e.fingerprint, e.event_type, coalesce(t.page, 0) AS page, coalesce(t.items, '') AS tickers
+FROM v_events e LEFT JOIN ({paged_sql('v_event_companies', 'event_fingerprint', 'ticker')}) t ON t.event_fingerprint = e.fingerprint""")
 def c14(w):
-    lists = w.event_companies.groupBy(F.col("event_fingerprint").alias("fingerprint")).agg(
-        F.array_join(F.array_sort(F.collect_set("ticker")), ",").alias("tickers")
-    )
-    return w.events.select("fingerprint", "event_type").join(lists, "fingerprint", "left").fillna("", ["tickers"])
+    bridge = w.event_companies.withColumnRenamed("event_fingerprint", "fingerprint")
+    pages = DB.event_ticker_pages(w.events.select("fingerprint", "event_type"), bridge, PAGE)
+    return pages.withColumn("tickers", F.array_join("tickers", ","))
 
 
 @query("C15_split_explode_join", """SELECT b.fingerprint, b.ticker, c.sector FROM v_bridge b LEFT JOIN v_companies c ON c.ticker = b.ticker""")
 def c15(w):
-    from tickerloom.plans.dashboards import event_list
-
-    listed = event_list(*w.event_tables).dropna(subset=["tickers"])
-    rows = listed.select("fingerprint", F.explode(F.split("tickers", ", ")).alias("ticker"))
+    rows = paged_list(w.event_tables[1], "fingerprint", "ticker", PAGE).select("fingerprint", F.explode("items").alias("ticker"))
     return rows.join(w.companies.select("ticker", "sector"), "ticker", "left")
 
 

@@ -19,6 +19,7 @@ from tickerloom.operators import graph as G
 from tickerloom.operators import intake as IN
 from tickerloom.operators.scoring import per_group, rows_from, score_by_lexicon, score_with
 from tickerloom.plans.catalog import query
+from tickerloom.plans.catalog_tables import PAGE, paged_sql
 from tickerloom.plans.catalog_gold import LEXICON_CASE, LEXICON_CONF, LEXICON_SCORE, PROSE_FLAGS, _GAP, _NW, lexicon_sql
 from tickerloom.sources import files
 from tickerloom.sources.warehouse import PROSE_RULES
@@ -406,13 +407,17 @@ def g5(w):
     return G.one_hop(w.mentions, "article_url", w.articles, "url", ["feed_url"])
 
 
-@query("G6_people_summary", """SELECT lower(c.c_name) AS normalized_name, c.c_mktsegment AS role, count(DISTINCT m.article_url) AS article_count, coalesce(string_agg(DISTINCT m.ticker, ',' ORDER BY m.ticker), '') AS associated_tickers
-FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey LEFT JOIN v_mentions m ON m.article_url = 'o' || o.o_orderkey GROUP BY 1, 2""")
+_PERSON_LINKS = "(SELECT lower(c.c_name) AS normalized_name, m.ticker, m.article_url FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey JOIN v_mentions m ON m.article_url = 'o' || o.o_orderkey)"
+
+
+@query("G6_people_summary", f"""SELECT lower(c.c_name) AS normalized_name, c.c_mktsegment AS role, coalesce(n.article_count, 0) AS article_count, coalesce(t.page, 0) AS page, coalesce(t.items, '') AS associated_tickers
+FROM customer c LEFT JOIN (SELECT normalized_name, count(DISTINCT article_url) AS article_count FROM {_PERSON_LINKS} GROUP BY 1) n ON n.normalized_name = lower(c.c_name)
+LEFT JOIN ({paged_sql(_PERSON_LINKS, 'normalized_name', 'ticker')}) t ON t.normalized_name = lower(c.c_name)""")
 def g6(w):
     links = G.analysis_edges(_analyses(w))
     people = w.table("customer").select(TX.normalized_name(F.col("c_name")).alias("normalized_name"), F.col("c_mktsegment").alias("role"))
     out = G.neighbour_summary(
-        people, "normalized_name", links["mentions_person"], "article_url", links["associated_with"], "ticker", "article_count", "associated_tickers"
+        people, "normalized_name", links["mentions_person"], "article_url", links["associated_with"], "ticker", "article_count", "associated_tickers", PAGE
     )
     return out.withColumn("associated_tickers", F.array_join("associated_tickers", ","))
 

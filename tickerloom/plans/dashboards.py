@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.constants import EVENT_TYPES
+from tickerloom.operators.paging import PAGE_ITEMS, listed, paged_list
 from tickerloom.operators.keyed import latest_per_key, optional_equal, since_last_date
 from tickerloom.operators.quantiles import trim_between_quantiles
 from tickerloom.operators.stats import avg_where, linear_fit, pearson, pivot_table, row_shares
@@ -120,14 +121,23 @@ def event_impact(signals: DataFrame, types: Sequence[str] = IMPACT_TYPES) -> Dat
     return table.withColumn("lift", F.col("present") - F.coalesce("absent", F.lit(0.0)))
 
 
-def event_list(facts: DataFrame, bridge: DataFrame, limit: int | None = None, event_type: str | None = None) -> DataFrame:
-    """Dated events with their sorted tickers as text, newest first."""
+def event_list(facts: DataFrame, bridge: DataFrame, limit: int, event_type: str | None = None) -> DataFrame:
+    """The newest ``limit`` dated events with their sorted tickers as text.
+
+    The events are chosen first; only their tickers are listed."""
     dated = optional_equal(facts.where(F.col("event_date").isNotNull()), "event_type", event_type)
-    names = bridge.groupBy("fingerprint").agg(
-        F.array_join(F.array_sort(F.collect_set("ticker")), ", ").alias("tickers")
-    )
-    joined = dated.join(names, "fingerprint", "left").orderBy(F.desc("event_date"), "fingerprint")
-    return joined if limit is None else joined.limit(limit)
+    order = [F.desc("event_date"), F.asc("fingerprint")]
+    chosen = dated.orderBy(*order).limit(limit)
+    own = bridge.join(F.broadcast(chosen.select("fingerprint")), "fingerprint", "left_semi")
+    names = listed(paged_list(own, "fingerprint", "ticker"), "fingerprint").withColumnRenamed("text", "tickers")
+    return chosen.join(names, "fingerprint", "left").orderBy(*order)
+
+
+def event_ticker_pages(facts: DataFrame, bridge: DataFrame, size: int = PAGE_ITEMS) -> DataFrame:
+    """All events beside the pages of their ticker lists; an event without tickers has one empty page."""
+    pages = paged_list(bridge, "fingerprint", "ticker", size).select("fingerprint", "page", F.col("items").alias("tickers"))
+    return facts.join(pages, "fingerprint", "left").fillna(0, ["page"]).withColumn(
+        "tickers", F.coalesce("tickers", F.array().cast("array<string>")))
 
 
 def events_over_time(facts: DataFrame, freq: str = "month") -> DataFrame:
