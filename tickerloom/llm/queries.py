@@ -205,3 +205,10 @@ SELECT n.conv_id, n.depth, r.parent_conv_id, n.n_convs, coalesce(c.n_children, 0
 FROM nodes n LEFT JOIN parents r USING (depth, path) LEFT JOIN children c USING (depth, path)
 JOIN below b USING (depth, path) LEFT JOIN ends e USING (depth, path)
 """
+
+ORACLE["op2_warc"] = """
+SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN strlen(body) >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(body) >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS body, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+"""

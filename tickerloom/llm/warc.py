@@ -4,7 +4,8 @@ The archives are gzip files with a member per record.  Every reading task owns a
 file: it looks for the gzip magic inside, decodes the start of each candidate to see whether a WARC
 header comes out, and reads the records that begin in its range, past its end where the last one
 goes on.  Bytes that only look like a member inside another record are dropped afterwards: a record
-that begins before the end of the one before it is no record.
+that begins before the end of the one before it is no record.  Archives of any writer are read: what a
+record lacks, or states wrongly, is null, and bytes that are no record are skipped and counted.
 
 Files are opened through ``pyarrow.fs`` (local and mounted folders, HDFS, S3, GCS).  A writing task
 opens a new file on every attempt; only the files named in the stored manifest are read, so what a
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,6 +31,7 @@ from tickerloom.session import work_folder
 
 SHARED_BYTES = 1000                       # equal payloads of at least this size are stored once
 RANGE_BYTES = 8 << 20
+TASK_BYTES = 128 << 20                    # a reading task gets about as much, fewer where cores would idle
 FILE_BYTES = 1 << 30                      # a new archive is begun beyond this
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 18
@@ -51,9 +54,10 @@ def _name(page_id: int | None) -> str:
     return f"urn:page:{'none' if page_id is None else page_id}"
 
 
-def _page(name: str) -> int | None:
-    tail = name.rpartition(":")[2]
-    return None if tail == "none" else int(tail)
+def _page(name: str | None) -> int | None:
+    """The page of a record id that this module wrote, else None."""
+    found = re.fullmatch(r"urn:page:(-?[0-9]{1,19})", name or "")
+    return int(found[1]) if found and -1 << 63 <= int(found[1]) < 1 << 63 else None
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
@@ -136,7 +140,7 @@ class _Bytes:
     """A file read forward from a place, kept from the oldest byte still needed."""
 
     def __init__(self, file, at: int, size: int):
-        self.file, self.base, self.size, self.data = file, at, size, b""
+        self.file, self.base, self.size, self.data = file, at, size, bytearray()
         file.seek(at)
 
     def need(self, end: int) -> bool:
@@ -150,7 +154,7 @@ class _Bytes:
 
     def drop(self, before: int) -> None:
         if before - self.base > 4 * CHUNK:
-            self.data = self.data[before - self.base:]
+            del self.data[: before - self.base]
             self.base = before
 
 
@@ -161,7 +165,7 @@ def _member(data: _Bytes, at: int) -> tuple[bytes, int] | None:
     while not unpack.eof:
         if not data.need(place + 1):
             return None
-        piece = data.data[place - data.base: place - data.base + CHUNK]
+        piece = bytes(data.data[place - data.base: place - data.base + CHUNK])
         try:
             got = unpack.decompress(piece)
         except zlib.error:
@@ -183,23 +187,37 @@ def _fields(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
 
 
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.isdigit() and len(text) < 19 else None
+
+
+def _stated_digest(text: str | None) -> str | None:
+    """A stated SHA-1 in base 32 or hexadecimal as bare hexadecimal."""
+    value = (text or "").rpartition(":")[2]
+    if re.fullmatch("[0-9A-Fa-f]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch("[A-Za-z2-7]{32}", value) else None
+
+
 def parse(content: bytes) -> tuple | None:
-    """Fields of a record, or None if it is cut short.  The digest and size of a response come from
-    its payload; those of a revisit are the ones its header and HTTP header state."""
+    """Fields of a record, or None if it is none: no header end, no usable length, cut short.
+
+    The payload is what follows the HTTP header of an HTTP record, the whole block of any other.  Its
+    size and digest are measured; those of a revisit are the ones its header and HTTP header state.
+    Ids, types, sizes and digests that are missing or malformed are None."""
     head, gap, body = content.partition(b"\r\n\r\n")
     fields = _fields(head)
-    length = int(fields.get("content-length", -1))
-    if not gap or length < 0 or len(body) < length:
+    length = _number(fields.get("content-length"))
+    if not gap or length is None or len(body) < length:
         return None
-    http, _, payload = body[:length].partition(b"\r\n\r\n")
-    kind = fields.get("warc-type", "")
+    block, kind = body[:length], fields.get("warc-type")
+    http, cut, rest = block.partition(b"\r\n\r\n")
+    payload = rest if cut and http.startswith((b"HTTP/", b"GET ", b"POST ", b"HEAD ")) else block
     if kind == "revisit":
-        size = int(_fields(http).get("content-length", -1))
-        digest = base64.b32decode(fields["warc-payload-digest"].rpartition(":")[2]).hex()
-        payload = None
+        size, digest, payload = _number(_fields(http).get("content-length")), _stated_digest(fields.get("warc-payload-digest")), None
     else:
         size, digest = len(payload), hashlib.sha1(payload).hexdigest()
-    return fields["warc-record-id"].strip("<>"), kind, size, digest, fields.get("warc-refers-to", "").strip("<>") or None, payload
+    return fields.get("warc-record-id", "").strip("<>") or None, kind, size, digest, fields.get("warc-refers-to", "").strip("<>") or None, payload
 
 
 def read_range(path: str, start: int, stop: int, size: int) -> Iterator[tuple]:
@@ -230,7 +248,11 @@ def read_range(path: str, start: int, stop: int, size: int) -> Iterator[tuple]:
 
 def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES, with_payload: bool = True) -> DataFrame:
     """All records of the archives in ``manifest(path, bytes)``, each read by the task that owns its
-    first byte; ``page_id`` and ``refers_to`` are the numbers in the record ids."""
+    first byte; ``page_id`` and ``refers_to`` are the numbers in the record ids that ``write_archives``
+    gives, null for others."""
+    total = manifest.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum(F.ceil(F.col("bytes") / range_bytes)), F.lit(0))).first()
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-int(total[0]) // TASK_BYTES), min(int(total[1]), 2 * cores))
     ranges = manifest.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
     names = [c.split()[0] for c in RECORDS.split(", ")]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
@@ -244,7 +266,7 @@ def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES, with_payl
         for part in batches:
             for path, size, start in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 for at, end, name, kind, length, digest, refers, payload in read_range(path, start, min(start + range_bytes, size), size):
-                    rows.append((path, at, end, name, _page(name), kind, length, digest, refers, _page(refers) if refers else None,
+                    rows.append((path, at, end, name, _page(name), kind, length, digest, refers, _page(refers),
                                  payload if with_payload else None))
                     held += len(payload or b"") if with_payload else 64
                     if held > 4 << 20:
@@ -252,14 +274,23 @@ def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES, with_payl
                         rows, held = [], 0
         yield batch(rows)
 
-    found = ranges.repartition(F.col("path"), F.col("start")).mapInArrow(run, RECORDS)
+    # dealt by number: rows of ranges are so small that they would all be put together
+    found = ranges.repartition(tasks, "path", "start").mapInArrow(run, RECORDS)
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     light = found.withColumn("_before", F.max("stop").over(before))
     return light.where("_before is null or _before <= start").drop("_before")
 
 
+def coverage(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """``(path, bytes, records, skipped_bytes)`` of every archive: what no record of ``records`` covers."""
+    held = records.groupBy("path").agg(F.count(F.lit(1)).alias("records"), F.sum(F.col("stop") - F.col("start")).alias("_held"))
+    zero = F.lit(0).cast("long")
+    return manifest.select("path", "bytes").join(held, "path", "left").select(
+        "path", "bytes", F.coalesce("records", zero).alias("records"), (F.col("bytes") - F.coalesce("_held", zero)).alias("skipped_bytes"))
+
+
 def archive_round_trip(spark: SparkSession, pages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Writes the archives of ``pages``, reads them back, and gives a row per record."""
     manifest = write_archives(pages, work_folder(spark, "warc"))
     records = read_archives(manifest, range_bytes, with_payload=False)
-    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "path", "start")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
