@@ -88,3 +88,27 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id or 0 for r in rows) == [0, 0, 3, 3, 3, 3]
     assert [r.doc_id for r in dc.without_matches(docs, bench).orderBy("doc_id").collect()] == [1, 2]
     assert dc.matches(docs.limit(0), bench).collect() == [] and dc.matches(docs, bench.limit(0)).collect() == []
+
+
+def test_repeated_letters_take_bounded_memory():
+    import tracemalloc
+
+    known = dc.Benchmark([(1, "a" * 400), (2, "abcdefgh" * 30)])
+    texts = ["a" * 40_000, "x" * 50 + "abcdefgh" * 2_000, "b" * 3_000]
+    tracemalloc.start()
+    found = known.search(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+    assert {f[0] for f in found[0]} == {1} and {f[0] for f in found[1]} == {2} and found[2] == []
+    assert min(f[3] for f in found[0]) == min(f[3] for f in found[1]) == 0
+
+
+def test_hits_in_steps_give_the_same(monkeypatch):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcd") for _ in range(rnd.randrange(2, 7))) for _ in range(30)]
+    items = [(n, " ".join(rnd.choice(words) for _ in range(20))) for n in range(8)]
+    texts = [" ".join(rnd.choice(words) for _ in range(200)) + " " + items[n % 8][1] for n in range(12)]
+    whole = dc.Benchmark(items).search(texts)
+    monkeypatch.setattr(dc, "HITS", 50)
+    assert dc.Benchmark(items).search(texts) == whole and all(whole)

@@ -30,6 +30,7 @@ BENCHMARK_CHARS = 4 << 20               # items searched in one pass; more items
 BLOCK_CHARS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 22
+HITS = 1 << 19                          # shared q-grams that are held at once
 
 _LOWER = np.array([ord(c) if len(c) == 1 else k for k, c in ((k, chr(k).lower()) for k in range(0x2000))], np.uint32)
 _WHITE = np.array([chr(k).isspace() for k in range(0x3001)])
@@ -77,10 +78,10 @@ class Benchmark:
         self.size = size
         self.edits = np.minimum((size * EDIT_SHARE).astype(np.int64), (size - Q) // Q)
         self.bound = size - Q + 1 - Q * self.edits
-        grams = [qgrams(c) for c in self.codes]
-        every = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
+        self.own = [qgrams(c) for c in self.codes]
+        every = np.concatenate(self.own) if self.own else np.empty(0, np.uint64)
+        item = np.repeat(np.arange(len(self.own)), [len(g) for g in self.own])
+        place = np.concatenate([np.arange(len(g)) for g in self.own]) if self.own else np.empty(0, np.int64)
         order = np.argsort(every, kind="stable")
         self.item, self.place = item[order], place[order]
         self.grams, self.first, self.times = np.unique(every[order], return_index=True, return_counts=True)
@@ -91,21 +92,42 @@ class Benchmark:
     def _slot(h: np.ndarray) -> np.ndarray:
         return ((h ^ (h >> np.uint64(29))) * _BASE >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
-    def hits(self, codes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Text, item, place in the item and diagonal of every q-gram a text shares with an item."""
-        h = qgrams(codes)
-        at = np.flatnonzero(self.bitmap[self._slot(h)])
+    def bands(self, grams: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Text, item and band of diagonals, where an item shares enough q-grams with a text in the band
+        and the next one; and the least diagonal, from which bands are counted.
+
+        A q-gram a text repeats meets each of its places in the item, so hits can be as many as the
+        product of both.  They are counted per band as they come, ``HITS`` at a time, and not kept."""
+        at = np.flatnonzero(self.bitmap[self._slot(grams)])
         text = np.searchsorted(borders, at, "right") - 1
         inside = at + Q <= borders[text + 1]
         at, text = at[inside], text[inside]
-        found = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
-        same = self.grams[found] == h[at]
+        found = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
+        same = self.grams[found] == grams[at]
         at, text, found = at[same], text[same], found[same]
-        times = self.times[found]
-        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        posting = np.repeat(self.first[found], times) + nth
-        place = self.place[posting]
-        return np.repeat(text, times), self.item[posting], place, np.repeat(at, times) - place
+        low = -int(self.size.max(initial=0))
+        span = int(borders[-1]) - low + 3                  # bands of any width fit into it
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        total = np.cumsum(self.times[found])
+        begin, held = 0, []
+        while begin < len(at):
+            before = int(total[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(total, before + HITS, "right")))
+            times = self.times[found[begin:end]]
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            posting = np.repeat(self.first[found[begin:end]], times) + nth
+            item = self.item[posting]
+            diagonal = np.repeat(at[begin:end], times) - self.place[posting]
+            key = (np.repeat(text[begin:end], times) * len(self.ids) + item) * span + (diagonal - low) // (2 * self.edits[item] + 1) + 1
+            held.append(np.unique(np.concatenate([key, key - 1]), return_counts=True))
+            begin = end
+            if begin == len(at) or sum(len(k) for k, _ in held) > 4 * HITS:
+                keys, of = np.unique(np.concatenate([keys, *(k for k, _ in held)]), return_inverse=True)
+                counts = np.bincount(of, np.concatenate([counts, *(c for _, c in held)]), len(keys)).astype(np.int64)
+                held = []
+        pair, band = keys // span, keys % span - 1
+        good = counts >= self.bound[pair % len(self.ids)]
+        return pair[good] // len(self.ids), pair[good] % len(self.ids), band[good], low
 
     def search(self, texts: Sequence[str]) -> list[list[tuple[int, int, int, int]]]:
         """``(item id, start, end, edits)`` of the passages of every text, one per item and region."""
@@ -113,32 +135,21 @@ class Benchmark:
         if not len(self.grams):
             return out
         codes, borders, came = normalised(texts)
-        text, item, place, diagonal = self.hits(codes, borders)
-        if not len(text):
-            return out
-        step = 2 * self.edits[item] + 1
-        low = int(diagonal.min())
-        band = (diagonal - low) // step
-        pair = text * len(self.ids) + item
-        keys = np.stack([np.concatenate([pair, pair]), np.concatenate([band, band - 1])])
-        order = np.lexsort(keys[::-1])
-        pair, band = keys[0][order], keys[1][order]
-        edge = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])]))
-        count = np.diff(np.append(edge, len(pair)))
-        pair, band = pair[edge], band[edge]
-        good = count >= self.bound[pair % len(self.ids)]
+        grams = qgrams(codes)
+        text, item, band, low = self.bands(grams, borders)
         last: tuple[int, int, int] | None = None
-        hit = order % len(place)                        # both bands of a hit point to it
-        for p, b, lo, n in zip(pair[good].tolist(), band[good].tolist(), edge[good].tolist(), count[good].tolist(), strict=True):
-            t, k = divmod(p, len(self.ids))
-            mine = hit[lo: lo + n]
+        for t, k, b in zip(text.tolist(), item.tolist(), band.tolist(), strict=True):
+            width, begin, end = 2 * int(self.edits[k]) + 1, int(borders[t]), int(borders[t + 1])
+            first = b * width + low
+            final = first + 2 * width - 1
+            if last is not None and last[:2] == (t, k) and final < last[2] and not out[t][-1][3]:
+                continue                                # all that begins here overlaps a passage without edits
             # a q-gram that repeats counts once, on either side
-            kept = min(len(set(place[mine].tolist())), len(set((place[mine] + diagonal[mine]).tolist())))
-            if kept < self.bound[k]:
+            there = grams[max(begin, first): max(min(end - Q + 1, final + int(self.size[k])), 0)]
+            own = self.own[k]
+            if min(np.isin(there, own).sum(), np.isin(own, there).sum()) < self.bound[k]:
                 continue
-            width = 2 * int(self.edits[k]) + 1
-            first = b * width + low
-            got = self._aligned(codes, int(borders[t]), int(borders[t + 1]), k, first, first + 2 * width - 1)
+            got = self._aligned(codes, begin, end, k, first, final)
             if got is None:
                 continue
             lo, hi, edits = got
