@@ -113,3 +113,74 @@ def test_shares_weigh_classes_like_repeated_rows():
     repeated = np.concatenate([x, *[x[label == 0]] * 4]), np.concatenate([label, *[label[label == 0]] * 4])
     a, b = model().scaled(x, label, (5.0, 1.0)), model().scaled(*repeated)
     assert np.allclose(a.weights, b.weights, atol=1e-4) and np.allclose(a.mean, b.mean)
+
+
+def brute_model(toxic, ordinary):
+    """Class-conditional Kneser-Ney by definition, over strings: evidence of a gram, and of one not seen."""
+    from collections import Counter, defaultdict
+    from math import log
+
+    def discount(counts):
+        once, twice = (sum(c == n for c in counts) for n in (1, 2))
+        return once / (once + 2 * twice) if once and twice else 0.75
+
+    classes = [Counter(g for w in words for g in grams_of(w)) for words in (toxic, ordinary)]
+    grams = set(classes[0]) | set(classes[1])
+    # continuation counts: how many different bytes stood before a shorter gram
+    longer, shorter = defaultdict(set), {}
+    for k in range(toxicity.ORDER, 1, -1):
+        longer[k] |= {g for g in grams if len(g) == k}
+        before = defaultdict(set)
+        for g in longer[k]:
+            before[g[1:]].add(g[0])
+        shorter[k - 1] = {g: len(b) for g, b in before.items()}
+        longer[k - 1] |= set(before)
+
+    def backoff(gram):
+        if not gram:
+            return 1 / 256
+        counts = shorter[len(gram)]
+        cut = discount(counts.values())
+        mine = [c for g, c in counts.items() if g[:-1] == gram[:-1]]
+        return max(counts[gram] - cut, 0) / sum(mine) + cut * len(mine) / sum(mine) * backoff(gram[1:])
+
+    def evidence(gram):
+        value = 0.0
+        for sign, counts in ((1, classes[0]), (-1, classes[1])):
+            cut = discount([counts[g] for g in grams])
+            mine = [c for g, c in counts.items() if g[:-1] == gram[:-1]]
+            if gram in grams:
+                low = backoff(gram[1:])
+                value += sign * log(max(counts[gram] - cut, 0) / sum(mine) + cut * len(mine) / sum(mine) * low if mine else low)
+            elif mine:                        # what both back off to cancels
+                value += sign * log(cut * len(mine) / sum(mine))
+        return value
+
+    return grams, evidence
+
+
+def test_evidence_equals_the_definition():
+    rnd = np.random.default_rng(7)
+    words = ["".join(rnd.choice(list("abcd"), rnd.integers(1, 8))) for _ in range(70)]
+    toxic, ordinary = words[:40], words[30:]
+    grams, evidence = brute_model(toxic, ordinary)
+    every = sorted(grams, key=lambda g: int.from_bytes(g.encode(), "big"))
+    counts = [np.array([sum(grams_of(w).count(g) for w in ws) for g in every]) for ws in (toxic, ordinary)]
+    model = toxicity.Model.of_counts(np.array([int.from_bytes(g.encode(), "big") for g in every], np.uint64), *counts)
+    assert model.evidence == pytest.approx([evidence(g) for g in every])
+    for word in [*words[:10], "abz", "zzz", "dcbadcba", "b"]:
+        data = np.frombuffer(word.encode(), np.uint8)
+        got = model.of_words(*toxicity._grams(data, np.array([0]), np.array([len(word)])))[0]
+        assert got == pytest.approx(sum(evidence(g) for g in grams_of(word)), abs=1e-9)
+
+
+def test_ties_repeats_and_missing_ids_in_scores(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    odd = spark.createDataFrame([(1, ""), (1, ""), (None, None), (2, None), (3, "you idiot " * 50_000)], "doc_id long, text string")
+    rows = toxicity.scores(odd, model).collect()
+    empty = {r.score for r in rows if r.doc_id in (1, 2, None)}
+    assert len(rows) == 5 and len(empty) == 1 and all(0 <= r.score <= 1 for r in rows)
+    assert {r.held_out for r in rows if r.doc_id is None} == {False}
+    assert toxicity.without_toxic(odd, model).count() + sum(r.predicted for r in rows) == 5
+    assert toxicity.scores(odd.limit(0), model).collect() == [] and toxicity.without_toxic(odd.limit(0), model).collect() == []
