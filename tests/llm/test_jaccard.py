@@ -107,3 +107,11 @@ def test_components_of_a_long_chain_and_a_star(spark):
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert len(rows) == 61 + 60
     assert {r.node: r.root for r in rows} == {k: 0 for k in range(61)} | {k: 100 for k in range(100, 160)}
+
+
+def test_one_per_class_with_clashing_names(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, 5, "a", True, 7), (2, text, 6, "b", False, 8), (3, "quite another text of some words here", 1, "c", True, 9), (None, text, 0, "d", True, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node int, _node string, some boolean, Least int")
+    got = jaccard.one_per_class(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)

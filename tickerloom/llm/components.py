@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tickerloom.llm.shared import stored
 
-MOST_ROUNDS = 60
-
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -36,13 +34,11 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
-    for _ in range(MOST_ROUNDS):
+    while True:                       # the logarithm of a component's size squared, at most
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen or not mark[0]:
             break
         seen = mark
         now = stored(_small_star(_large_star(now)), "edges")
-    else:
-        raise RuntimeError("components did not settle")
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

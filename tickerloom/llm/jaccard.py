@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm.components import components
-from tickerloom.llm.shared import mix64, shingles, sliced, stored, trimmed, word_hashes
+from tickerloom.llm.shared import free_names, mix64, shingles, sliced, stored, trimmed, word_hashes
 
 WORDS = 5
 PERCENT = 80
@@ -281,9 +281,10 @@ def one_per_class(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     Rows without doc_id and rows without words stay.  Of equal rows one stays.
     """
     classes = stored(near_duplicate_classes(docs, words, percent), "classes")
-    kept = classes.where("doc_id = component_id and n_shingles > 0").groupBy("class_id").agg(
-        F.min("doc_id").alias("_doc_id"), F.min("node").alias("_node")).drop("class_id")
     names = docs.columns
+    node, some, least, its = free_names(names, "node", "some", "least", "its_node")
+    kept = classes.where("doc_id = component_id and n_shingles > 0").groupBy("class_id").agg(
+        F.min("doc_id").alias(least), F.min("node").alias(its)).drop("class_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -292,11 +293,11 @@ def one_per_class(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
                 nodes.append(_nodes(values, offsets))
                 size.append(np.diff(offsets))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.concatenate(nodes)), pa.array(np.concatenate(size) > 0)], names=[*names, "_node", "_some"])
+                [*batch.columns, pa.array(np.concatenate(nodes)), pa.array(np.concatenate(size) > 0)], names=[*names, node, some])
 
-    marked = docs.mapInArrow(trimmed(run), docs.select("*", F.lit(0).cast("long").alias("_node"), F.lit(True).alias("_some")).schema)
-    free = (F.col("doc_id").isNull()) | ~F.col("_some")
+    marked = docs.mapInArrow(trimmed(run), docs.select("*", F.lit(0).cast("long").alias(node), F.lit(True).alias(some)).schema)
+    free = F.col("doc_id").isNull() | ~F.col(some)
     # rows of one class with the same doc_id and shingle set are copies: one of them
-    chosen = marked.where(~free).join(kept, (F.col("doc_id") == F.col("_doc_id")) & (marked["_node"] == kept["_node"]), "left_semi") \
-        .dropDuplicates(["doc_id", "_node"])
+    chosen = marked.where(~free).join(kept, (F.col("doc_id") == F.col(least)) & (F.col(node) == F.col(its)), "left_semi") \
+        .dropDuplicates(["doc_id", node])
     return marked.where(free).select(*names).unionByName(chosen.select(*names))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """Column names after ``wanted`` that are not ``taken``, in any case of letters."""
+    used = {c.lower() for c in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 BATCH_BYTES = 8 << 20
 
 
