@@ -104,3 +104,14 @@ def test_tiny_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "a c")], "doc_id long, text string")
     compare([(1, "a b"), (2, "a c")], katz.scores(docs).collect())
     assert katz.scores(docs.limit(0)).collect() == []
+
+
+def test_a_text_over_many_blocks(spark, monkeypatch):
+    from tickerloom.llm import shared
+
+    monkeypatch.setattr(shared, "BLOCK_BYTES", 256)          # the words of a text come in pieces
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 100)
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", 300)
+    rnd = random.Random(8)
+    rows = [(1, prose(rnd, 3000)), (2, prose(rnd, 40)), (3, "x" * 5000 + " the"), (4, prose(rnd, 700))]
+    compare(rows, katz.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect())

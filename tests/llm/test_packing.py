@@ -65,3 +65,36 @@ def test_with_ids_and_empty_table(spark, docs):
     pieces = packing.tokenised_pieces(docs, 64, with_ids=True).where("doc_id = 4").collect()
     assert sum((p.ids for p in sorted(pieces, key=lambda p: p.piece)), []) == packing.encode("word " * 900).tolist()
     assert packing.pack_documents(docs.limit(0)).collect() == []
+
+
+def plain_best_fit(lengths, capacity, most):
+    """By definition, over a list of open bins: the tightest that fits, else a new one; the fullest closes."""
+    open_bins, begun, out = [], 0, []
+    for n in lengths:
+        fitting = [b for b in open_bins if b[1] >= n]
+        if fitting:
+            tight = min(b[1] for b in fitting)
+            mine = [b for b in open_bins if b[1] == tight][-1]
+        else:
+            if len(open_bins) == most:
+                full = min(b[1] for b in open_bins)
+                open_bins.remove([b for b in open_bins if b[1] == full][-1])
+            mine = [begun, capacity]
+            begun += 1
+            open_bins.append(mine)
+        open_bins.remove(mine)
+        out.append((mine[0], capacity - mine[1]))
+        mine[1] -= n
+        if mine[1]:
+            open_bins.append(mine)
+    return out
+
+
+def test_bitset_equals_plain_best_fit():
+    import random
+
+    rnd = random.Random(4)
+    for capacity, most in ((10, 2), (64, 5), (2048, 40)):
+        lengths = [rnd.choice([rnd.randrange(1, capacity + 1), 1 + capacity // 3]) for _ in range(600)]
+        bins = packing.OpenBins(capacity, most)
+        assert [bins.place(n) for n in lengths] == plain_best_fit(lengths, capacity, most)

@@ -79,3 +79,14 @@ def test_whole_tables_equal_the_patterns(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in pii.personal_data(docs).collect():
         assert [(s.kind, s.start, s.end) for s in r.spans if s.kind in RULES] == brute(texts[r.doc_id])
+
+
+def test_odd_rows_and_a_very_long_text(spark):
+    long = "clean words here. " * 120_000 + "a@b.co " + "0" * 300_000
+    rows = [(None, "x@y.zz", 1), (1, long, 1), (1, "1.2.3.4", 1), (1, "1.2.3.4", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans int")
+    got = pii.personal_data(docs).collect()
+    assert [(s.kind, s.start) for r in got if r.doc_id is None for s in r.spans] == [("email", 0)]
+    assert sorted(len(r.spans) for r in got if r.doc_id == 1) == [1, 1, 1]
+    assert [(s.kind, s.start) for r in got for s in r.spans if s.kind == "email" and s.start] == [("email", len("clean words here. ") * 120_000)]
+    assert pii.personal_data(docs.limit(0)).collect() == []

@@ -68,3 +68,15 @@ def test_odd_documents_pass_all_stages(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {None, 1, 2, 3}
+
+
+def test_extra_columns_and_odd_rows_pass_through(spark):
+    rows = [(1, "one two three four five six seven", "x", 1), (2, None, "y", 2), (3, "", "z", 3), (None, "no id at all in this one", "w", 4), (4, "one two three four five six seven", "v", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _node string, spans int")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stored(stage(spark, docs, SF), name)
+        assert after.columns == docs.columns
+        docs = after
+    assert {r.doc_id for r in docs.collect()} <= {1, 2, 3, None} and docs.where("doc_id is null").count() == 1
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).where("doc_id = 2").count() == 1
+    assert corpus_pipeline.STAGES[0][1](spark, docs.limit(0), SF).collect() == []

@@ -71,3 +71,13 @@ def test_query_over_tables(spark, tmp_path):
     got = {r.doc_id: r.spans for r in secrets.secrets(odd).collect()}
     assert got[1] == got[3] == [] and len(got[None]) == 1
     assert secrets.secrets(odd.limit(0)).collect() == []
+
+
+def test_a_very_long_text_and_odd_rows_of_redaction(spark):
+    long = "clean words here. " * 150_000 + "token=abcdef " + "f" * 100_000
+    docs = spark.createDataFrame([(1, long, 5), (1, "token=abcdef", 12), (1, "token=abcdef", 12), (None, None, 0)], "doc_id long, text string, n_chars long")
+    spans = [r.spans for r in secrets.secrets(docs).collect() if r.spans and r.spans[0].start > 1000][0]
+    assert [(s.kind, s.start) for s in spans] == [("assign", len("clean words here. ") * 150_000), ("hex", len(long) - 100_000)]
+    rows = secrets.redacted(docs).collect()
+    assert sorted((r.doc_id or 0, r.text or "", r.n_chars) for r in rows if r.n_chars < 100) == [(0, "", 0), (1, "[assign]", 8), (1, "[assign]", 8)]
+    assert all("abcdef" not in (r.text or "") for r in rows) and secrets.redacted(docs.limit(0)).collect() == []

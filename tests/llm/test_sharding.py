@@ -84,3 +84,29 @@ def test_small_groups_are_dealt_in_tasks(spark, monkeypatch):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert sharding.shard_documents(docs).collect() == []
+
+
+def test_very_long_missing_ids_and_repeats(spark):
+    long = "é" * 2_000_000
+    rows = [(1, long), (None, "a"), (None, "a"), (2, "a"), (2, "b"), (2, "b")]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 3).collect()
+    assert sorted((r.doc_id or 0, r["size"]) for r in got) == [(0, 2), (0, 2), (1, 4_000_001), (2, 2), (2, 2), (2, 2)]
+    assert len({r.shard for r in got if r.text_crc32 == zlib.crc32(b"a")}) == 1
+    for s in range(3):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
+def test_differencing_of_small_sets_against_all_splits():
+    """Two shards: never worse than the greedy rule, and the best split in most cases."""
+    rnd = random.Random(12)
+    best_hits = 0
+    for _ in range(200):
+        sizes = [rnd.randrange(1, 60) for _ in range(rnd.randrange(2, 9))]
+        got = spread(sizes, sharding.differenced(sizes, 2), 2)
+        greedy = [0, 0]
+        for n in sorted(sizes, reverse=True):
+            greedy[greedy.index(min(greedy))] += n
+        best = min(spread(sizes, p, 2) for p in itertools.product(range(2), repeat=len(sizes)))
+        assert best <= got <= abs(greedy[0] - greedy[1])
+        best_hits += got == best
+    assert best_hits > 120

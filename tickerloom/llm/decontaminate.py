@@ -234,7 +234,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item, all columns as they are."""
+    """The rows of ``docs`` that hold no item, all columns as they are: null and empty texts stay, repeated
+    rows stay or go together, rows without doc_id like any other; without items, all rows stay."""
     kept = docs
     for items in _passes(docs, benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(items)

@@ -132,7 +132,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``spans`` of every row of ``docs(doc_id, text)``.
 
     Null and empty texts have no spans; rows without doc_id and repeated rows come as they are;
-    other columns of ``docs`` are not read.
+    other columns of ``docs`` are not read; a text of any length is read whole, by one task; an empty
+    table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

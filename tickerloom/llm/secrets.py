@@ -201,7 +201,8 @@ def secrets(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``spans`` of every row of ``docs(doc_id, text)``.
 
     Null and empty texts have no spans; rows without doc_id and repeated rows come as they are;
-    other columns of ``docs`` are not read.
+    other columns of ``docs`` are not read; a text of any length is read whole, by one task; an empty
+    table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +215,8 @@ def secrets(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by its kind in brackets; rows without secrets
-    and all other columns stay as they are, but ``n_chars`` follows a changed text."""
+    and all other columns stay as they are, but ``n_chars`` follows a changed text.  Repeated rows and
+    rows without doc_id are masked like any other; an empty table stays empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts, out = batch.column("text").to_pylist(), []

@@ -148,7 +148,10 @@ def with_slots(placed: DataFrame, order: Iterable[str]) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """Shard and slot of every row of ``docs(doc_id, text)``; null text counts as empty."""
+    """Shard and slot of every row of ``docs(doc_id, text)``.
+
+    Null text counts as empty and lies with it.  Rows without doc_id and repeated rows are rows of their
+    own, with the group of their text; other columns are not read; an empty table gives no rows."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sized = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),

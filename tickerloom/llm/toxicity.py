@@ -267,7 +267,11 @@ def fit(docs: DataFrame, labels: DataFrame, most_per_class: int = MOST_PER_CLASS
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row; null text counts as empty."""
+    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row.
+
+    Null text counts as empty, and all empty texts have one score; equal texts have equal scores;
+    repeated rows each have a row, as have rows without doc_id, which are never held out; an empty
+    table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +283,8 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` scored below one half, all columns as they are."""
+    """The rows of ``docs`` scored below one half, all columns as they are; repeated rows stay or go
+    together, rows without doc_id like any other, and an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
