@@ -15,8 +15,8 @@ def enriched_rows(
     articles: DataFrame, companies: DataFrame, mentions: DataFrame, article_events: DataFrame,
     rules: TextRules = TextRules(), body_chars: int | None = None,
 ) -> DataFrame:
-    mapped = D.map_entities(articles, companies, mentions, body_chars)
-    return D.enrich_articles(mapped, article_events, rules)
+    """One row per (article, ticker); text rules run once per article, before it is mapped."""
+    return D.map_entities(D.enrich_articles(articles, article_events, rules), companies, mentions, body_chars)
 
 
 def gold_frames(
