@@ -84,6 +84,7 @@ def test_few_runs_leave_a_text(spark):
     lowered = t.select("k", F.lower("body").alias("_low"))
     anchors = E._anchors(n.select(F.col("name").alias("_name")), lowered)
     runs = {r["_name"]: r["_run"] for r in anchors.collect()}
+    assert E._few_anchors(list(runs), lowered) == runs
     rare = {"the bank of zyx": b"zyx", "bank of qqq": b"qqq"}
     for name, part in rare.items():
         run = int(runs[name]) & 0xFFFFFFFF

@@ -29,8 +29,9 @@ def map_entities(
     stored = articles.join(mentions.withColumnRenamed("article_url", "url"), "url")
     rest = unknown_only(articles, "url", mentions, "article_url")
     body = F.col("full_text") if body_chars is None else F.substring("full_text", 1, body_chars)
-    searched = rest.select("url", TX.joined_text("title", body).alias("_text"))
-    found = containment_join(searched, "url", "_text", companies.select("ticker", "company_name"), "company_name")
+    words = TX.joined_text("title", body).alias("_text")
+    found = containment_join(
+        rest.select("url", words), "url", "_text", companies.select("ticker", "company_name"), "company_name", sample=articles.select(words))
     by_name = rest.join(found.select("url", "ticker"), "url")
     both = stored.unionByName(by_name, allowMissingColumns=True)
     return both.withColumn("date", F.to_date("published_at"))

@@ -88,13 +88,17 @@ def _hits(column: pa.Array, bits: np.ndarray, sizes: list[int]) -> Iterator[tupl
         yield row, data[offsets[row]: offsets[row + 1]].tobytes(), runs
 
 
+def _bits(runs: np.ndarray) -> np.ndarray:
+    """The filter with these runs."""
+    bits, slot = np.zeros(1 << (FILTER_BITS - 6), np.uint64), _slot(runs)
+    np.bitwise_or.at(bits, slot >> np.uint64(6), np.uint64(1) << (slot & np.uint64(63)))
+    return bits
+
+
 def _filter_of(runs: DataFrame) -> np.ndarray:
-    """The bits of all ``runs(_run)``, combined in the tasks; what comes here has a fixed bound."""
+    """The filter with all ``runs(_run)``, combined in the tasks; what comes here has a fixed bound."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-        for batch in batches:
-            slot = _slot(np.asarray(batch.column(0)))
-            np.bitwise_or.at(bits, slot >> np.uint64(6), np.uint64(1) << (slot & np.uint64(63)))
+        bits = _bits(np.concatenate([np.empty(0, np.int64), *(np.asarray(b.column(0)) for b in batches)]))
         at = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits[at].view(np.int64))], names=["word", "bits"])
 
@@ -104,51 +108,74 @@ def _filter_of(runs: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _anchors(names: DataFrame, lowered: DataFrame) -> DataFrame:
-    """``(_name, _run)``: of every distinct name the run that is rarest in a sample of the texts, then
-    among names."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            runs = [_name_runs(n.encode()) for n in batch.column(0).to_pylist()]
-            at = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(np.concatenate(runs))], names=["_name", "_run"])
+def _sizes(runs: DataFrame) -> list[int]:
+    return sorted(r[0] for r in runs.select(F.shiftright("_run", 32)).distinct().collect())   # at most RUN_BYTES
 
-    parts = stored(names.select("_name").distinct().mapInArrow(cut, "_name string, _run long"), "name-runs")
-    bits, sizes = _filter_of(parts), _sizes(parts)
 
+def _frequencies(lowered: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFrame:
+    """``(_run, _texts)``: in how many texts of a bounded sample each run of the filter occurs."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             runs = [r for _, _, r in _hits(batch.column(0), bits, sizes)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *runs]))], names=["_run"])
 
-    in_texts = lowered.select("_low").limit(SAMPLE_TEXTS).mapInArrow(count, "_run long").groupBy("_run").agg(F.count("*").alias("_texts"))
+    sample = lowered.select("_low").limit(SAMPLE_TEXTS)
+    return sample.mapInArrow(count, "_run long").groupBy("_run").agg(F.count("*").alias("_texts"))
+
+
+def _few_anchors(names: list[str], sample: DataFrame) -> dict[str, int]:
+    """Of each name the run that is rarest in a sample of the texts, then among names."""
+    parts = {n: _name_runs(n.encode()) for n in names}
+    runs, in_names = np.unique(np.concatenate([np.empty(0, np.int64), *parts.values()]), return_counts=True)
+    found = _frequencies(sample, _bits(runs), np.unique(runs >> 32).tolist()).toArrow() if names else None
+    in_texts = dict(zip(found["_run"].to_pylist(), found["_texts"].to_pylist(), strict=True)) if names else {}
+    in_names = dict(zip(runs.tolist(), in_names.tolist(), strict=True))
+    return {n: min(r.tolist(), key=lambda x: (in_texts.get(x, 0), in_names[x], x)) for n, r in parts.items()}
+
+
+def _anchors(names: DataFrame, sample: DataFrame) -> DataFrame:
+    """``(_name, _run)``: the same for any number of names, by joins."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [_name_runs(n.encode()) for n in batch.column(0).to_pylist()]
+            at = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(np.concatenate(runs))], names=["_name", "_run"])
+
+    parts = stored(names.select("_name").distinct().mapInArrow(cut, "_name string, _run long"), "name-runs")
+    in_texts = _frequencies(sample, _filter_of(parts), _sizes(parts))
     in_names = parts.groupBy("_run").agg(F.count("*").alias("_names"))
     rarest = F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("t"), F.col("_names").alias("n"), F.col("_run").alias("_run")))
     return parts.join(in_names, "_run").join(in_texts, "_run", "left").groupBy("_name").agg(rarest.getField("_run").alias("_run"))
 
 
-def _sizes(runs: DataFrame) -> list[int]:
-    return sorted(r[0] for r in runs.select(F.shiftright("_run", 32)).distinct().collect())   # at most RUN_BYTES
-
-
 def containment_join(
     texts: DataFrame, key: str, text: str, names: DataFrame, name: str, small_rows: int = SMALL_ROWS,
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """(key, columns of ``names``) where the text contains the name, ignoring case.
 
     ``key`` must be unique in ``texts``.  A task marks the runs of its texts that are anchors in a filter
     of fixed size and nothing else leaves a text.  Up to ``small_rows`` names are sent to all tasks, where
     the exact test follows at once; more names meet the marked runs in a join, and the texts again.
+    ``sample`` (with the column ``text``) is where rare runs are counted, by default ``texts``: a table
+    that is cheaper to read spares computing ``texts`` twice.
     """
     named = names.withColumn("_name", F.lower(F.col(name))).where(F.length("_name") > 0)
-    lowered = texts.where(F.col(text).isNotNull()).select(key, F.lower(F.col(text)).alias("_low"))
-    anchors = stored(_anchors(named, lowered), "anchors")
-    bits, sizes = _filter_of(anchors), _sizes(anchors)
+    low = F.lower(F.col(text)).alias("_low")
+    lowered = texts.where(F.col(text).isNotNull()).select(key, low)
+    counted = (texts if sample is None else sample).where(F.col(text).isNotNull()).select(low)
     kind = lowered.schema[key].dataType.simpleString()
-    small = anchors.count() <= small_rows
+    known = [r["_name"] for r in named.select("_name").distinct().limit(small_rows + 1).collect()]
+    small = len(known) <= small_rows
     by_run: dict[int, list[bytes]] = {}
-    for r in anchors.collect() if small else ():
-        by_run.setdefault(r["_run"], []).append(r["_name"].encode())
+    if small:
+        for n, run in _few_anchors(known, counted).items():
+            by_run.setdefault(run, []).append(n.encode())
+        runs = np.array(list(by_run), np.int64)
+        bits, sizes = _bits(runs), np.unique(runs >> 32).tolist()
+    else:
+        anchors = stored(_anchors(named, counted), "anchors")
+        bits, sizes = _filter_of(anchors), _sizes(anchors)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
