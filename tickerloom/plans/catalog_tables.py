@@ -57,7 +57,7 @@ def s2_files(w):
     name = F.when(F.col("asset_key") == "Brand#11", F.lit("notes.csv")).otherwise(F.concat(code, F.lit(" - history.csv")))
     quotes = w.commodities.unionByName(w.commodities.withColumn("date", F.lit(None).cast("date")).dropDuplicates(["asset_key"]))
     day = F.when(F.day("date") % 2 == 0, F.date_format("date", "dd/MM/yyyy")).otherwise(F.date_format("date", "yyyy-MM-dd"))
-    close = F.format_number("close", 6)
+    close = F.format_number("close", 9)
     rows = quotes.select(
         name.alias("file"), day.alias("Date "), F.replace(close, F.lit(","), F.lit("")).alias("Dernier"), F.lit(None).cast("string").alias("Ouv."),
         F.lit(None).cast("string").alias("Plus Haut"), F.lit(None).cast("string").alias("Plus Bas"),

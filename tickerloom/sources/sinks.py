@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,24 +106,26 @@ def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
 
 
 def write_measured(df: DataFrame, rules: Mapping[str, Column], folder: str, run_id: str, pipeline: str = "load") -> DataFrame:
-    """Write valid and rejected rows in one pass and append what the pass counted to the run log.
-
-    ``folder/rows`` holds all rows under ``rejected=false`` and ``rejected=true``, the rejected ones with
-    their first failed rule.  The counts (rows read, kept, rejected per rule) come from an observation on
-    the writing plan, so nothing is scanned twice.  ``folder/run_events`` grows by one event per count;
-    the events of this run are returned.
+    """Write valid and rejected rows in one pass and append what was written to the run log.
+
+    ``folder/rows/run_id=...`` holds all rows under ``rejected=false`` and ``rejected=true``, the rejected
+    ones with their first failed rule; a run that is repeated replaces its rows.  The counts (rows read,
+    kept, rejected per rule) come from one column of the written files; ``df`` is computed once.  They do
+    not come from an observation on the plan: once a session has made one, Spark can no longer send models
+    fitted in that session to its tasks.  ``folder/run_events`` grows by one event per count; the events
+    of this run are returned.
     """
     spark = df.sparkSession
     reason = F.lit(None).cast("string")
     for name, holds in reversed(list(rules.items())):
         reason = F.when(~F.coalesce(holds, F.lit(False)), name).otherwise(reason)
-    counted = Observation(f"write-{run_id}")
-    checked = df.withColumn("reject_reason", reason).withColumn("rejected", F.col("reject_reason").isNotNull()).observe(
-        counted, F.count(F.lit(1)).alias("read"), F.count_if(~F.col("rejected")).alias("kept"),
-        *[F.count_if(F.col("reject_reason") == name).alias(f"rejected_{name}") for name in rules])
-    checked.write.mode("append").partitionBy("rejected").parquet(f"{folder}/rows")
-    rows = [(run_id, pipeline, "info" if not name.startswith("rejected_") or not n else "warning", "write", name, float(n))
-            for name, n in counted.get.items()]
+    path = f"{folder}/rows/run_id={run_id}"
+    checked = df.withColumn("reject_reason", reason).withColumn("rejected", F.col("reject_reason").isNotNull())
+    checked.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    outcomes = spark.read.schema("reject_reason string").parquet(path).groupBy("reject_reason").count().collect()   # one row per rule
+    found = {r["reject_reason"]: r["count"] for r in outcomes}
+    counts = {"read": sum(found.values()), "kept": found.get(None, 0)} | {f"rejected_{name}": found.get(name, 0) for name in rules}
+    rows = [(run_id, pipeline, "warning" if name.startswith("rejected_") and n else "info", "write", name, float(n)) for name, n in counts.items()]
     events = spark.createDataFrame(rows, "run_id string, pipeline_name string, level string, stage string, metric_name string, metric_value double")
     events.withColumn("ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{folder}/run_events")
     return spark.read.parquet(f"{folder}/run_events").where(F.col("run_id") == run_id)
