@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickerloom.operators import daily as D
 from tickerloom.plans.catalog import TIE_SHIFT, _rounded
@@ -53,3 +54,50 @@ def test_rounding_is_that_of_round(spark):
     plain = F.round(F.col("x") + F.lit(shift), 6)
     want = df.select(F.when(plain == 0, 0.0).otherwise(plain).alias("x"))
     assert list(map(repr, _rounded(df, ["x"], 6).collect())) == list(map(repr, want.collect()))
+
+
+def test_enriched_rows_and_prices_are_dealt_once(spark):
+    w = Warehouse(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan(w.daily).count("Exchange hashpartitioning") == plan(w.features).count("Exchange hashpartitioning") == 1
+        assert plan(w.prices).count("Exchange hashpartitioning") == 1
+        assert plan(w.signals).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_daily_features_count_distinct_articles(spark):
+    rows = [("A", 1, "u1", 0.5), ("A", 1, "u1", 0.5), ("A", 1, "u2", None), ("A", 1, None, 1.0), ("A", 1, None, None),
+            ("A", 2, None, None), ("B", 1, "u1", -1.0), (None, 1, "u1", 1.0), ("B", None, "u3", 1.0)]
+    flags = ["event_ma", "event_earnings", "event_management", "event_legal", "is_negated", "is_speculative"]
+    df = spark.createDataFrame(
+        [(t, d and dt.date(2024, 1, d), u, s, "positive" if s and s > 0 else None, *[1] * 6) for t, d, u, s in rows],
+        "ticker string, date date, url string, score double, sentiment string, " + ", ".join(f"{c} int" for c in flags)).repartition(3)
+    for parts in (None, 3):
+        daily = D.daily_features(df, type_columns=[], parts=parts)
+        got = {(r["ticker"], r["date"].day): (r["news_count"], r["avg_sentiment"], r["positive_count"], r["event_ma"]) for r in daily.collect()}
+        assert got == {("A", 1): (2, 2 / 3, 3, 5), ("A", 2): (0, None, 0, 1), ("B", 1): (1, -1.0, 0, 1)}
+
+
+def test_mapped_articles_take_mentions_or_names(spark):
+    articles = spark.createDataFrame(
+        [("m", "Acme"), ("n", "Acme and Bolt"), ("n", "Acme and Bolt"), ("z", "none"), (None, "Acme"), ("k", "Bolt")],
+        "url string, title string").selectExpr("url", "title", "CAST(NULL AS STRING) full_text", "TIMESTAMP '2024-01-01' published_at")
+    companies = spark.createDataFrame([("A", "acme"), ("B", "bolt")], "ticker string, company_name string")
+    mentions = spark.createDataFrame([("m", "X"), ("m", "Y"), ("k", None), (None, "Q")], "article_url string, ticker string")
+    got = sorted(map(repr, ((r["url"], r["ticker"]) for r in D.map_entities(articles, companies, mentions).collect())))
+    assert got == sorted(map(repr, [("m", "X"), ("m", "Y"), ("k", None)] + 4 * [("n", "A"), ("n", "B")]))
+
+
+def test_typed_zeros_are_those_of_the_cast(spark):
+    from tickerloom.sources.sinks import typed
+
+    values = [0.0, -0.0, 1 / 3, 2.00005, -0.00005, 1e-9, 12.5, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    schema = T.StructType([T.StructField("x", T.DecimalType(8, 4))])
+    got = typed(df, schema)
+    assert got.schema["x"].dataType == schema["x"].dataType
+    assert got.collect() == df.select(F.col("x").cast("decimal(8,4)")).collect()
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in text and "0.0000" in text
