@@ -101,3 +101,20 @@ def test_typed_zeros_are_those_of_the_cast(spark):
     assert got.collect() == df.select(F.col("x").cast("decimal(8,4)")).collect()
     text = got._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN" in text and "0.0000" in text
+
+
+def test_trend_line_reads_stored_pairs(spark):
+    from tickerloom.plans.dashboards import sentiment_trend_line
+
+    pairs = spark.range(200).selectExpr("'T' ticker", "CAST(id % 7 AS DOUBLE) avg_sentiment", "CAST(id AS DOUBLE) next_day_return")
+    line = sentiment_trend_line(pairs.unionByName(pairs.where("ticker = 'none'")))
+    assert line.inputFiles() and all("/pairs-" in f for f in line.inputFiles())
+    assert line.first()["n"] == 196
+
+
+def test_forests_keep_the_node_of_each_row(spark):
+    from tickerloom.operators import learn as L
+
+    rows = L.assemble(spark.range(200).selectExpr("CAST(id % 10 AS DOUBLE) x", "CAST(id % 2 AS INT) direction", "id / 100 next_day_return"), ["x"])
+    for model in (L.fit_classifier(rows, trees=2, depth=2), L.fit_regressor(rows, trees=2, depth=2)):
+        assert model.getOrDefault("cacheNodeIds") and model.getNumTrees == 2
