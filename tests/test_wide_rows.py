@@ -118,3 +118,11 @@ def test_forests_keep_the_node_of_each_row(spark):
     rows = L.assemble(spark.range(200).selectExpr("CAST(id % 10 AS DOUBLE) x", "CAST(id % 2 AS INT) direction", "id / 100 next_day_return"), ["x"])
     for model in (L.fit_classifier(rows, trees=2, depth=2), L.fit_regressor(rows, trees=2, depth=2)):
         assert model.getOrDefault("cacheNodeIds") and model.getNumTrees == 2
+
+
+def test_model_rows_hold_what_their_readers_use(spark):
+    from tickerloom.constants import MODEL_FEATURES, TYPE_FLAGS
+
+    columns = Warehouse(spark, SF).news_days.columns
+    assert {"ticker", "date", "daily_return", "next_day_return", "direction", "positive_count", "negative_count", *MODEL_FEATURES} == set(columns)
+    assert not set(TYPE_FLAGS) & set(columns)
