@@ -126,3 +126,22 @@ def test_model_rows_hold_what_their_readers_use(spark):
     columns = Warehouse(spark, SF).news_days.columns
     assert {"ticker", "date", "daily_return", "next_day_return", "direction", "positive_count", "negative_count", *MODEL_FEATURES} == set(columns)
     assert not set(TYPE_FLAGS) & set(columns)
+
+
+def test_parts_dealt_by_ticker_grow_with_the_lines(spark, monkeypatch):
+    from tickerloom.sources import warehouse
+
+    cores = spark.sparkContext.defaultParallelism
+    assert Warehouse(spark, SF).ticker_parts == cores
+    monkeypatch.setattr(warehouse, "ROWS_PER_PART", 250)
+    w = Warehouse(spark, SF)
+    parts = -(-w.table("lineitem").count() // 250)
+    assert w.ticker_parts == parts > cores
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(w.signals)
+        # adaptive execution leaves numbers that were asked for as they are, and the join deals nothing anew
+        assert text.count(f", {parts}), REPARTITION_BY_NUM") == text.count("Exchange hashpartitioning") == 2
+        assert w.signals.rdd.getNumPartitions() == parts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
