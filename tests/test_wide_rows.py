@@ -145,3 +145,19 @@ def test_parts_dealt_by_ticker_grow_with_the_lines(spark, monkeypatch):
         assert w.signals.rdd.getNumPartitions() == parts
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_forests_learn_from_even_parts(spark):
+    from tickerloom.operators import learn as L
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(800).selectExpr("CAST(id % 5 = 0 AS INT) direction").coalesce(1)
+    sizes = L.balanced_weights(L.spread(rows), "direction").rdd.glom().map(len).collect()
+    assert len(sizes) == cores and sum(sizes) == 800 and max(sizes) - min(sizes) <= 4
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weighted = L.balanced_weights(rows, "direction")
+        assert "BroadcastHashJoin" in plan(weighted)     # rows are not dealt by their class
+        assert {(r[0], round(r[1], 9)) for r in weighted.distinct().collect()} == {(1, 2.5), (0, 0.625)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
