@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,3 +162,21 @@ def test_forests_learn_from_even_parts(spark):
         assert {(r[0], round(r[1], 9)) for r in weighted.distinct().collect()} == {(1, 2.5), (0, 0.625)}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_refresh_deals_features_as_the_prices(spark, monkeypatch, tmp_path):
+    from tickerloom.plans import gold
+
+    class Seen(Exception):
+        pass
+
+    def stop(enriched, parts):
+        raise Seen(parts)
+
+    monkeypatch.setattr(gold.D, "daily_features", stop)
+    w = Warehouse(spark, SF)
+    with pytest.raises(Seen) as seen:
+        gold.refresh_gold(
+            str(tmp_path / "gold"), str(tmp_path / "work"), articles=w.articles, companies=w.companies, mentions=w.mentions,
+            article_events=w.article_events, prices=w.prices, events=w.events, event_companies=w.event_companies, commodities=w.commodities, parts=13)
+    assert seen.value.args == (13,)
