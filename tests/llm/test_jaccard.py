@@ -115,3 +115,26 @@ def test_one_per_class_with_clashing_names(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, node int, _node string, some boolean, Least int")
     got = jaccard.one_per_class(docs)
     assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
+
+
+def test_copies_far_from_one_another_make_no_pairs(spark, monkeypatch):
+    """Of a common text there are near copies, linked with it, and far ones, linked with nothing."""
+    base, fresh = [f"w{k}" for k in range(400)], iter(range(10**6))
+
+    def copy(edits):
+        out = list(base)
+        for at in random.Random(edits).sample(range(9, 400, 10), edits):
+            out[at] = f"own{next(fresh)}"
+        return " ".join(out)
+
+    rows = list(enumerate([" ".join(base), *[copy(3) for _ in range(25)], *[copy(10) for _ in range(25)]]))
+    met, pairs = [], jaccard._pairs
+
+    def counted(df):
+        met.append(df.count())
+        return pairs(df)
+
+    monkeypatch.setattr(jaccard, "_pairs", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(jaccard.near_duplicate_classes(df)) == brute(rows, 5, 80)
+    assert sum(met[1:]) <= len(rows)

@@ -176,12 +176,12 @@ def _need(percent: int, n: str, other_n: str) -> Column:
 def _may_link(percent: int) -> Column:
     """Whether a row's two nodes, met on a shingle, pass the length and the positional filter.
 
-    What two sets share is at most what can stand before the common shingle in both, that shingle,
-    and what can follow it in both."""
+    A linked pair is looked for where it meets first in the order: nothing before that shingle is in
+    both sets, so all they share stands from it on in either.  Where linked sets meet again they may
+    fail; sets that are alike but not enough, whose own shingles come first, fail everywhere."""
     small, large = F.least("n", "other_n"), F.greatest("n", "other_n")
-    ahead = F.least("place", "other_place")
     behind = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
-    return (small * 100 >= large * percent) & (ahead + behind >= _need(percent, "n", "other_n"))
+    return (small * 100 >= large * percent) & (behind >= _need(percent, "n", "other_n"))
 
 
 def _parities_near(percent: int, n: str, other_n: str, mine: str, others: str) -> Column:
