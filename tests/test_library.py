@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from tickerloom.operators import entities as E
 from tickerloom.operators import learn as L
 from tickerloom.operators import quantiles as Q
@@ -16,7 +17,7 @@ from tickerloom.operators import stats as ST
 from tickerloom.operators.paging import listed, paged_list
 from tickerloom.operators.scoring import per_group, rows_from
 from tickerloom.schemas import GOLD
-from tickerloom.sources import files, sinks
+from tickerloom.sources import files, sinks, warehouse
 from tickerloom.streaming import feed as STREAM
 
 # --- sample sort -------------------------------------------------------------------------
@@ -246,3 +247,14 @@ def test_counters_of_a_90_day_feed_are_whole_and_state_is_released(spark, tmp_pa
     state = STREAM.latest_state(spark.read.parquet(f"{tmp_path}/out"), ["k", "week"])
     assert state.agg(F.sum("n")).first()[0] == 90
     assert spark.read.format("statestore").load(f"{tmp_path}/checkpoint").count() <= 5      # of 13 weeks
+
+
+def test_stored_tables_come_in_parts_by_rows(spark, monkeypatch):
+    """What a session stores is dealt by its rows, whatever few bytes they are; settings go back after it."""
+    monkeypatch.setattr(warehouse, "ROWS_PER_PART", 200)
+    w = warehouse.Warehouse(spark, SF)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before, seen = spark.conf.get(key, None), []
+    w.once_in("parts-by-rows", lambda folder: seen.append((int(spark.conf.get(key)), spark.range(10).groupBy("id").count().count())))
+    assert seen == [(-(-w.table("lineitem").count() // 200), 10)]
+    assert spark.conf.get(key, None) == before
